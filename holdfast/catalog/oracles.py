@@ -249,12 +249,9 @@ BODIES = {
     "label_counts": "select label, count(*) as n from churn_labels group by label",
     "risk_encoding": f"""select user_id, event_date, churn_risk_level, {_RISK} as risk_level_encoded
         from snapshot""",
-    "segment_onehot": "select user_id, event_date, "
-    + ", ".join(
-        f"cast(coalesce(segment = '{name}', false) as int) as \"seg_{name}\""
-        for name in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-    )
-    + " from snapshot",
+    "segment_onehot": """select user_id, event_date, 'seg_' || v.segment as flag,
+        cast(coalesce(s.segment = v.segment, false) as int) as is_set
+        from snapshot s, (select distinct segment from snapshot where segment is not null) v""",
     "feature_ratios": f"select user_id, event_date, {_RATIOS} from snapshot",
     "clean_features": """select user_id, event_date, coalesce(days_since_last_login, 0)
         as days_since_last_login, watch_time_7d_min, watch_time_30d_min from snapshot""",

@@ -7,7 +7,6 @@ import re
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ from holdfast.functions.responses import (
 )
 from holdfast.operators import aggregates, filters, labels, ordering, shows, splits
 from holdfast.plans import campaign, content, messages, outbox, scoring, training
-from holdfast.session import ensure_checkpoint_dir
+from holdfast.session import ensure_checkpoint_dir, materialise
 from holdfast.sources.standins import AS_OF, LAST_SNAPSHOT, Inputs
 from holdfast.sources.tables import activity_history, read_date, replace_date
 
@@ -46,35 +45,43 @@ def registered_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def sample_generator(prompts: pd.Series) -> pd.Series:
+def sample_generator() -> messages.Generate:
     """A stand-in for the text generator: good, wrapped and unusable answers."""
-    return prompts.map(_sample_answer)
 
-
-def _sample_answer(prompt: str) -> str:
-    asked = re.search(r"- strategy_code: (\w+)", prompt)
-    if asked:
-        strategy = asked.group(1)
-        playbook = json.dumps(
+    def playbook(strategy: str) -> str:
+        good = json.dumps(
             {"hook": f"{strategy} hook", "angle": "a", "content_direction": "c"}
             | {"cta": "go", "tone": "calm", "urgency_level": "low"}
         )
-        return {"Fix": "no idea", "Start": f"Sure! {playbook} Done."}.get(strategy, playbook)
-    listed = re.findall(r"^- (.+)$", prompt, flags=re.MULTILINE)
-    answer = {
-        "push_title": "Tonight: " + listed[0],
-        "push_body": "Pick one.\nPress play.",
-        "email_title": "",
-        "email_intro": "You **watched** these.",
-        "rec_list": [{"title": title, "description": f"About {title}"} for title in listed],
-    }
-    return f"```json\n{json.dumps(answer)}\n```"
+        return {"Fix": "no idea", "Start": f"Sure! {good} Done."}.get(strategy, good)
+
+    def copy(titles: list[str]) -> str:
+        answer = {
+            "push_title": "Tonight: " + titles[0],
+            "push_body": "Pick one.\nPress play.",
+            "email_title": "",
+            "email_intro": "You **watched** these.",
+            "rec_list": [{"title": t, "description": f"About {t}"} for t in titles],
+        }
+        return f"```json\n{json.dumps(answer)}\n```"
+
+    def answer(prompt: str) -> str:
+        asked = re.search(r"- strategy_code: (\w+)", prompt)
+        if asked:
+            return playbook(asked.group(1))
+        return copy(re.findall(r"^ *- (.+)$", prompt, flags=re.MULTILINE))
+
+    return lambda prompts: prompts.map(answer)
 
 
 def _labelled(inputs: Inputs) -> DataFrame:
     return labels.label_churn(inputs.snapshot, activity_history(inputs.daily_watch_time))
 
 
+def _stored_labels(inputs: Inputs) -> DataFrame:
+    return materialise(_labelled(inputs))
+
+
 def _scored_labels(inputs: Inputs) -> DataFrame:
     return inputs.predictions.join(
         _labelled(inputs).select("user_id", "event_date", "label"), ["user_id", "event_date"]
@@ -94,11 +101,11 @@ def _messages(inputs: Inputs) -> DataFrame:
         DAY,
         limit=None,
     )
-    return messages.build_messages(brief, sample_generator, RUN_TS, parallelism=None)
+    return messages.build_messages(brief, sample_generator(), RUN_TS, parallelism=None)
 
 
 def _delivery(inputs: Inputs) -> DataFrame:
-    return outbox.delivery_list(_messages(inputs), inputs.users, DAY)
+    return outbox.delivery_list(materialise(_messages(inputs)), inputs.users, DAY)
 
 
 def _copy_responses(inputs: Inputs) -> DataFrame:
@@ -232,7 +239,8 @@ def risk_encoding(inputs: Inputs) -> DataFrame:
 @_registered
 def segment_onehot(inputs: Inputs) -> DataFrame:
     flags = scores.segment_onehot(inputs.snapshot.select("user_id", "event_date", "segment"))
-    return flags
+    names = [name for name in flags.columns if name.startswith("seg_")]
+    return flags.unpivot(["user_id", "event_date"], names, "flag", "is_set")
 
 
 @_registered
@@ -301,12 +309,12 @@ def row_index(inputs: Inputs) -> DataFrame:
 
 @_registered
 def time_split(inputs: Inputs) -> DataFrame:
-    return splits.time_split(_labelled(inputs)).select("user_id", "event_date", "is_train")
+    return splits.time_split(_stored_labels(inputs)).select("user_id", "event_date", "is_train")
 
 
 @_registered
 def stratified_counts(inputs: Inputs) -> DataFrame:
-    parts = splits.stratified_split(_labelled(inputs).select("user_id", "event_date", "label"))
+    parts = splits.stratified_split(_stored_labels(inputs).select("user_id", "event_date", "label"))
     return parts.groupBy("label", "is_train").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,15 @@ _SPACE = r"[\s\x{1c}-\x{1f}]"
 _NOT_BLANK = r"(?U)[^\s\x{1c}-\x{1f}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value computed once however often it is used.
+
+    Conditions are not shared between the branches of a ``when``, so without this
+    a response would be parsed again for every key that is looked at.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
     return F.regexp_replace(text, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
@@ -41,11 +52,17 @@ def strict_json(text: Column) -> Column:
     element that can be tested for.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(), wrapped)
+    return let(
+        wrapped, lambda v: F.when(F.try_variant_get(v, "$[1]", "variant").isNull(), v)
+    )
 
 
 def playbook_valid(value: Column) -> Column:
     """Whether every playbook key of the variant's ``$[0]`` is a non-blank string."""
+    return let(value, _has_all_keys)
+
+
+def _has_all_keys(value: Column) -> Column:
     valid = F.lit(True)
     for key in wording.PLAYBOOK_KEYS:
         path = f"$[0].{key}"
@@ -66,15 +83,17 @@ def extract_playbook(raw: Column) -> Column:
     The block from first to last brace is the whole text when that is an object,
     so both cases are one. Keys keep their order, extra keys included.
     """
-    block = json_block(raw)
+    return let(json_block(raw), lambda b: F.when(playbook_valid(strict_json(b)), _rewritten(b)))
+
+
+def _rewritten(block: Column) -> Column:
     pairs = F.map_entries(F.from_json(block, "map<string, variant>"))
-    text = _object_text(
+    return _object_text(
         F.transform(
             pairs,
             lambda pair: F.concat(_quoted(pair["key"]), F.lit(": "), F.to_json(pair["value"])),
         )
     )
-    return F.when(playbook_valid(strict_json(block)), text)
 
 
 def playbook_fallback() -> Column:
@@ -93,9 +112,13 @@ def playbook_fallback() -> Column:
 
 def parse_copy(raw: Column) -> Column:
     """The five copy fields of a response as a struct; all null if it is no object."""
-    text = strip(F.replace(F.replace(strip(raw), F.lit("```json")), F.lit("```")))
-    kind = F.schema_of_variant(F.try_variant_get(strict_json(text), "$[0]", "variant"))
-    return F.from_json(F.when(kind.startswith("OBJECT"), text), COPY_SCHEMA)
+    bare = strip(F.replace(F.replace(strip(raw), F.lit("```json")), F.lit("```")))
+    return F.from_json(let(bare, lambda text: F.when(_is_object(text), text)), COPY_SCHEMA)
+
+
+def _is_object(text: Column) -> Column:
+    value = F.try_variant_get(strict_json(text), "$[0]", "variant")
+    return F.schema_of_variant(value).startswith("OBJECT")
 
 
 def copy_defaults(df: DataFrame) -> DataFrame:
@@ -120,8 +143,7 @@ def _first(name: str, default: str) -> Column:
 
 
 def _quoted(text: Column) -> Column:
-    inside = F.to_json(F.array(text))
-    return inside.substr(F.lit(2), F.length(inside) - 2)
+    return let(F.to_json(F.array(text)), lambda t: t.substr(F.lit(2), F.length(t) - 2))
 
 
 def _object_text(pairs: Column) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from holdfast.session import materialise
@@ -23,36 +23,82 @@ def with_row_index(
     of the sort key, so the range partitioning can split a date, or any other
     key, that holds a large part of the rows.
     """
-    numbered, sizes = _numbered(df, [*order, *tie, F.xxhash64(*df.columns)])
-    return _with_offsets(numbered, sizes).select(
+    keys = [*order, *tie, F.xxhash64(*df.columns)]
+    numbered, sizes = _numbered(df, keys, F.count(F.lit(1)))
+    starts = df.sparkSession.createDataFrame(
+        list(_starts(sizes).items()), "_part long, _start long"
+    )
+    # One row per partition of the sort, however many rows there are.
+    return numbered.join(F.broadcast(starts), "_part").select(
         *df.columns, (F.col("_start") + F.col("_seq")).alias(out)
     )
 
 
-def row_at(df: DataFrame, order: Sequence[str | Column], position: int) -> Row | None:
-    """The row at one position of the order, or None beyond the end."""
-    return _pick(*_numbered(df, order), [position]).get(position)
+def row_at(df: DataFrame, keys: Sequence[str], position: int) -> Row | None:
+    """The row at one position in the order of all ``keys``, None beyond the end."""
+    return _rows_at(df, keys, [position])[0].get(position)
 
 
 def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Percentiles with linear interpolation between the two nearest ranks.
 
-    Nulls and NaN are left out. Only the rows at the wanted ranks reach the driver.
+    Nulls and NaN are left out. Only the values at the wanted ranks reach the driver.
     """
     value = F.col(column).cast("double")
-    clean = df.select(value.alias("_value")).filter(value.isNotNull() & ~F.isnan(value))
-    numbered, sizes = _numbered(clean, ["_value"])
-    count = sum(sizes.values())
+    clean = df.select(value.alias("value")).filter(value.isNotNull() & ~F.isnan(value))
+
+    def ranks(count: int) -> list[int]:
+        return [step((count - 1) * share) for share in shares for step in (floor, ceil)]
+
+    found, count = _rows_at(clean, ["value"], ranks)
     if not count:
         return [None for _ in shares]
-    ranks = [(count - 1) * share for share in shares]
-    wanted = sorted({step(rank) for rank in ranks for step in (floor, ceil)})
-    found = _pick(numbered, sizes, wanted)
-    low_high = [(found[floor(r)]["_value"], found[ceil(r)]["_value"], r - floor(r)) for r in ranks]
-    return [low + (high - low) * part for low, high, part in low_high]
+    marks = []
+    for share in shares:
+        rank = (count - 1) * share
+        low, high = found[floor(rank)]["value"], found[ceil(rank)]["value"]
+        marks.append(low + (high - low) * (rank - floor(rank)))
+    return marks
+
+
+def _rows_at(
+    df: DataFrame, keys: Sequence[str], positions: Sequence[int] | Callable[[int], Sequence[int]]
+) -> tuple[dict[int, Row], int]:
+    """The keys at the wanted positions, and the number of rows.
+
+    Rows are counted per key first, on the map side too: a value that a third of
+    the rows share is one row to sort. The partition of each position follows
+    from the partitions' totals, and only those partitions are looked into.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    numbered, sizes = _numbered(counted, keys, F.sum("_rows"))
+    total = sum(sizes.values())
+    wanted = positions(total) if callable(positions) else positions
+    places = {}
+    for part, start in _starts(sizes).items():
+        for position in set(wanted):
+            if start <= position < start + sizes[part]:
+                places[position] = (part, position - start)
+    if not places:
+        return {}, total
+    running = Window.partitionBy("_part").orderBy("_seq")
+    before = F.sum("_rows").over(running) - F.col("_rows")
+    near = (
+        numbered.filter(F.col("_part").isin(sorted({part for part, _ in places.values()})))
+        .withColumn("_before", before)
+        .withColumn("_after", F.col("_before") + F.col("_rows"))
+    )
+    found = {}
+    for position, (part, offset) in places.items():
+        here = (F.col("_part") == part) & (F.col("_before") <= offset) & (F.col("_after") > offset)
+        found[position] = F.max(F.when(here, F.struct(*keys)))
+    row = near.agg(*(column.alias(str(position)) for position, column in found.items())).first()
+    return {position: row[str(position)] for position in found}, total
 
 
-def _numbered(df: DataFrame, keys: Sequence[str | Column]) -> tuple[DataFrame, dict[int, int]]:
+def _numbered(
+    df: DataFrame, keys: Sequence[str | Column], size: Column
+) -> tuple[DataFrame, dict[int, int]]:
     """Sort globally, stamp partition and position, and write that down.
 
     The stamp is read from the checkpoint afterwards: positions taken from a plan
@@ -65,30 +111,9 @@ def _numbered(df: DataFrame, keys: Sequence[str | Column]) -> tuple[DataFrame, d
         F.shiftright("_id", _SEQ_BITS).alias("_part"),
         F.col("_id").bitwiseAND(F.lit((1 << _SEQ_BITS) - 1)).alias("_seq"),
     )
-    sizes = {row["_part"]: row["count"] for row in numbered.groupBy("_part").count().collect()}
-    return numbered, dict(sorted(sizes.items()))
+    sizes = numbered.groupBy("_part").agg(size.alias("_size")).orderBy("_part").collect()
+    return numbered, {row["_part"]: row["_size"] for row in sizes}
 
 
 def _starts(sizes: dict[int, int]) -> dict[int, int]:
     return dict(zip(sizes, accumulate(sizes.values(), initial=0)))
-
-
-def _with_offsets(numbered: DataFrame, sizes: dict[int, int]) -> DataFrame:
-    offsets = numbered.sparkSession.createDataFrame(
-        list(_starts(sizes).items()), "_part long, _start long"
-    )
-    return numbered.join(F.broadcast(offsets), "_part")
-
-
-def _pick(numbered: DataFrame, sizes: dict[int, int], positions: Sequence[int]) -> dict[int, Row]:
-    places = {}
-    for part, start in _starts(sizes).items():
-        for position in positions:
-            if start <= position < start + sizes[part]:
-                places[(part, position - start)] = position
-    if not places:
-        return {}
-    here = F.struct("_part", "_seq")
-    wanted = [F.struct(F.lit(p).cast("long"), F.lit(s).cast("long")) for p, s in places]
-    rows = numbered.filter(here.isin(*wanted)).collect()
-    return {places[(row["_part"], row["_seq"])]: row for row in rows}

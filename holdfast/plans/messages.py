@@ -14,6 +14,7 @@ from holdfast.functions.responses import (
     copy_defaults,
     extract_playbook,
     guard_response,
+    let,
     parse_copy,
     playbook_fallback,
 )
@@ -33,32 +34,36 @@ def with_text(df: DataFrame, prompt_col: str, out_col: str, generate: Generate)
     ``refusal``. Calls run in parallel in as many tasks as ``df`` has partitions.
     """
 
-    @F.pandas_udf(RESPONSE_SCHEMA)
-    def ask(prompts: pd.Series) -> pd.DataFrame:
-        return _answers(prompts, generate)
-
+    ask = _asking(generate)
     prompt = F.col(prompt_col)
     # Asking is costly and may differ between calls, so the optimizer must not
     # evaluate it more than once per row.
     asked = df.withColumn("_response", ask.asNondeterministic()(prompt))
-    guarded = guard_response(
-        F.col("_response.answered"), F.col("_response.content"), F.col("_response.refusal")
+    guarded = let(
+        F.col("_response"), lambda r: guard_response(r["answered"], r["content"], r["refusal"])
     )
     return asked.withColumn(out_col, F.when(prompt.isNotNull(), guarded)).drop("_response")
 
 
-def _answers(prompts: pd.Series, generate: Generate) -> pd.DataFrame:
-    out = pd.DataFrame({"answered": False, "content": None, "refusal": None}, index=prompts.index)
-    out = out.astype({"content": object, "refusal": object})
-    wanted = prompts.notna()
-    if wanted.any():
-        got = generate(prompts[wanted])
-        if isinstance(got, pd.Series):
-            got = got.to_frame("content")
-        out.loc[wanted, "answered"] = True
-        for name in got.columns:
-            out.loc[wanted, name] = got[name].to_numpy()
-    return out
+def _asking(generate: Generate):
+    # Local functions travel to the executors by value; a module-level one would
+    # need this package installed there.
+    @F.pandas_udf(RESPONSE_SCHEMA)
+    def ask(prompts: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame(
+            {"answered": False, "content": None, "refusal": None}, index=prompts.index
+        ).astype({"content": object, "refusal": object})
+        wanted = prompts.notna()
+        if wanted.any():
+            got = generate(prompts[wanted])
+            if isinstance(got, pd.Series):
+                got = got.to_frame("content")
+            out.loc[wanted, "answered"] = True
+            for name in got.columns:
+                out.loc[wanted, name] = got[name].to_numpy()
+        return out
+
+    return ask
 
 
 def with_playbook(targets: DataFrame, generate: Generate, attempts: int = 2) -> DataFrame:

@@ -24,7 +24,9 @@ USER_COLUMNS = ["age", "gender", "plan", "churn_date", "user_email"]
 def delivery_list(messages: DataFrame, users: DataFrame, day: date | str) -> DataFrame:
     """Messages of one date that may go out, with the user's attributes.
 
-    The user table is cut to the users written to before it is made unique.
+    ``messages`` is the stored message table. The user table is made unique first,
+    with a partial result per task, so repeated users are harmless; Spark moves the
+    semi join below that when the messages are few enough to broadcast.
     """
     to_send = messages.filter(
         (F.col("event_date") == day_literal(day))
@@ -32,9 +34,9 @@ def delivery_list(messages: DataFrame, users: DataFrame, day: date | str) -> Dat
         & ~F.col("skipped")
     )
     attributes = (
-        users.join(to_send.select("user_id"), "user_id", "left_semi")
-        .groupBy("user_id")
+        users.groupBy("user_id")
         .agg(F.min(F.struct(*USER_COLUMNS)).alias("_user"))
+        .join(to_send.select("user_id"), "user_id", "left_semi")
         .select("user_id", "_user.*")
     )
     joined = to_send.join(attributes, "user_id", "left")

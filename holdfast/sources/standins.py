@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ class Inputs:
     def _table(self, name: str) -> DataFrame:
         return load(self.spark, self.directory, name)
 
-    @property
+    @cached_property
     def watch_events(self) -> DataFrame:
         return (
             self._table("events")
@@ -47,17 +48,17 @@ class Inputs:
             )
         )
 
-    @property
+    @cached_property
     def daily_watch_time(self) -> DataFrame:
         return self.watch_events.groupBy("user_id", "event_date").agg(
             F.round(F.sum("session_time"), 2).alias("watch_min")
         )
 
-    @property
+    @cached_property
     def all_users(self) -> DataFrame:
         return self._table("events").select("user_id").distinct()
 
-    @property
+    @cached_property
     def snapshot(self) -> DataFrame:
         segments = self._table("customer").select(
             F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment")
@@ -114,7 +115,7 @@ class Inputs:
             F.datediff("event_date", last).alias("days_since_last_login"),
         ).filter(F.col("event_date").between(FIRST_SNAPSHOT, LAST_SNAPSHOT))
 
-    @property
+    @cached_property
     def predictions(self) -> DataFrame:
         idle = F.col("days_since_last_login")
         return self.snapshot.filter(F.col("is_active") == 1).select(
@@ -123,7 +124,7 @@ class Inputs:
             ((idle * 3 + 40).cast("double") / 100).alias("churn_probability"),
         )
 
-    @property
+    @cached_property
     def campaign_targets(self) -> DataFrame:
         slot = F.col("user_id") % 8
         codes = F.array(*(F.lit(code) for code in STRATEGIES))
@@ -136,12 +137,12 @@ class Inputs:
             probability_band(F.col("churn_probability")).alias("probability_band"),
         )
 
-    @property
+    @cached_property
     def content_master(self) -> DataFrame:
         parts = self._table("part").filter(F.col("p_type") != "PROMO")
         return parts.select(F.col("p_partkey").alias("show_id"), F.col("p_name").alias("title"))
 
-    @property
+    @cached_property
     def posters(self) -> DataFrame:
         name, movie = F.col("p_name"), F.col("p_size") <= 25
         kept = ~name.like("hot %") & ~(name.like("old %") & movie)
@@ -156,7 +157,7 @@ class Inputs:
             )
         )
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         key, nation = F.col("c_custkey"), F.col("c_nationkey")
         plans = F.array(F.lit("basic"), F.lit("standard"), F.lit("premium"))
@@ -173,7 +174,7 @@ class Inputs:
             )
         )
 
-    @property
+    @cached_property
     def raw_responses(self) -> DataFrame:
         user = F.col("user_id").cast("string")
         good = F.concat(F.lit('{"hook":"h'), user, F.lit(PLAYBOOK_REST))

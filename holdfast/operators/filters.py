@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.operators.joins import matching
 from holdfast.sources.tables import day_literal
 
 # A key list this long is a few megabytes at most, so it may be broadcast.
@@ -28,13 +29,13 @@ def for_users(df: DataFrame, users: DataFrame, at_most: int | None = None) -> Da
     """Rows of the users in ``users``.
 
     ``at_most`` is a proven upper bound on the number of users (a limit upstream).
-    Only with such a bound is the key list broadcast; otherwise Spark decides by
-    measured size, and AQE splits a user who holds too much of a shuffle.
+    Only with such a bound is the key list broadcast; otherwise it is made distinct
+    and Spark decides by measured size.
     """
     keys = users.select("user_id")
     if at_most is not None and at_most <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    return df.join(keys, "user_id", "left_semi")
+        return df.join(F.broadcast(keys), "user_id", "left_semi")
+    return matching(df, keys.distinct(), ["user_id"])
 
 
 def latest_date(df: DataFrame, as_of: date) -> DataFrame:

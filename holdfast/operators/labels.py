@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.operators.joins import lookup
+
 
 def safe_zone(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> DataFrame:
     """Snapshots whose whole horizon lies inside the recorded activity.
@@ -31,9 +33,11 @@ def label_churn(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> Da
         F.col("_first_next") <= F.date_add("event_date", horizon)
     )
     return (
-        settled.withColumn("_block", _block(F.col("event_date"), horizon))
-        .join(reach, ["user_id", "_block"], "left")
-        .select(*snapshot.columns, _label(active))
+        lookup(
+            settled.withColumn("_block", _block(F.col("event_date"), horizon)),
+            reach,
+            ["user_id", "_block"],
+        ).select(*snapshot.columns, _label(active))
     )
 
 
@@ -59,7 +63,7 @@ def label_churn_window(snapshot: DataFrame, history: DataFrame, horizon: int = 7
     )
     ahead = Window.partitionBy("user_id").orderBy(F.unix_date("event_date")).rangeBetween(1, horizon)
     latest = days.select("user_id", "event_date", F.max("_active").over(ahead).alias("_latest"))
-    return settled.join(latest, ["user_id", "event_date"], "left").select(
+    return lookup(settled, latest, ["user_id", "event_date"]).select(
         *snapshot.columns, _label(F.col("_latest").isNotNull())
     )
 

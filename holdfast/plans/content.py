@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.text import bullet_list
 from holdfast.operators.checks import resolve_column
 from holdfast.operators.filters import for_users, trailing_days
+from holdfast.operators.joins import lookup
 from holdfast.operators.shows import top_shows, watch_minutes
 
 KEY_NAMES = ["show_id", "showId"]
@@ -34,7 +35,8 @@ def with_titles(shows: DataFrame, master: DataFrame) -> DataFrame:
     fallback = F.col("show_id").cast("string")
     if known is None:
         return shows.withColumn("title", fallback)
-    return shows.join(known, "show_id", "left").withColumn("title", F.coalesce("title", fallback))
+    titled = lookup(shows, known, ["show_id"])
+    return titled.withColumn("title", F.coalesce("title", fallback))
 
 
 def content_list(

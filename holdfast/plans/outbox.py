@@ -16,6 +16,7 @@ from holdfast.functions.payloads import (
     html_body,
     poster_url,
 )
+from holdfast.operators.joins import lookup
 from holdfast.sources.tables import day_literal
 
 USER_COLUMNS = ["age", "gender", "plan", "churn_date", "user_email"]
@@ -36,11 +37,10 @@ def delivery_list(messages: DataFrame, users: DataFrame, day: date | str) -> Dat
     attributes = (
         users.groupBy("user_id")
         .agg(F.min(F.struct(*USER_COLUMNS)).alias("_user"))
-        .join(to_send.select("user_id"), "user_id", "left_semi")
+        .join(to_send.select("user_id").distinct(), "user_id", "left_semi")
         .select("user_id", "_user.*")
     )
-    joined = to_send.join(attributes, "user_id", "left")
-    return joined.select(*messages.columns, *USER_COLUMNS)
+    return lookup(to_send, attributes, ["user_id"]).select(*messages.columns, *USER_COLUMNS)
 
 
 def poster_paths(posters: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def poster_paths(posters: DataFrame) -> DataFrame:
 def with_posters(titled: DataFrame, posters: DataFrame) -> DataFrame:
     """Add ``poster`` to rows with a ``title``."""
     return (
-        titled.join(poster_paths(posters), "title", "left")
+        lookup(titled, poster_paths(posters), ["title"])
         .withColumn("poster", poster_url(F.col("poster_path"), F.col("title")))
         .select(*titled.columns, "poster")
     )
@@ -79,7 +79,8 @@ def with_items(delivery: DataFrame, posters: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("pos", "title", "description", "poster"))).alias("items"))
     )
     none = F.array().cast("array<struct<pos: int, title: string, description: string, poster: string>>")
-    return delivery.join(resolved, "rec_list", "left").withColumn("items", F.coalesce("items", none))
+    found = lookup(delivery, resolved, ["rec_list"])
+    return found.withColumn("items", F.coalesce("items", none))
 
 
 def outbox(

@@ -1,0 +1,116 @@
+import math
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from holdfast.functions.scores import FEATURES
+from holdfast.plans import scoring, training
+from holdfast.sources import registry
+
+DAY = date(2024, 1, 30)
+PARAMS = training.TrainParams(rounds=(2, 4), max_depth=3, step_size=0.3)
+SNAPSHOT = (
+    "user_id long, event_date date, is_active int, daily_watch_time_min double, "
+    "watch_time_7d_min double, watch_time_30d_min double, active_days_7 long, active_days_30 long, "
+    "days_since_last_login int, churn_risk_level string"
+)
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Labelled rows where a long absence makes churn likely."""
+    rnd = random.Random(3)
+    data = []
+    for n in range(600):
+        idle = rnd.randrange(0, 15)
+        values = [0.0, 10.0 - idle / 2, 100.0, 3, 12, idle, 0.4, 0.75, min(idle // 4, 3)]
+        label = int(rnd.random() < idle / 16)
+        data.append((n, date(2024, 1, 1) + timedelta(days=n % 20), *map(float, values), label))
+    names = ", ".join(f"{name} double" for name in FEATURES)
+    return spark.createDataFrame(data, f"user_id long, event_date date, {names}, label int").cache()
+
+
+@pytest.fixture(scope="module")
+def result(rows):
+    return training.train(rows, PARAMS)
+
+
+@pytest.fixture
+def snapshot(spark):
+    rows = [
+        (1, DAY, 1, 5.0, 30.0, 100.0, 3, 12, 0, "Active"),
+        (2, DAY, 1, 0.0, None, 100.0, 0, 12, 14, "Churned"),
+        (3, DAY, 0, 0.0, 0.0, 0.0, 0, 0, None, "Churned"),
+        (1, DAY - timedelta(days=1), 1, 5.0, 30.0, 100.0, 3, 12, 0, "Active"),
+    ]
+    return spark.createDataFrame(rows, SNAPSHOT)
+
+
+def test_model_learns(result):
+    assert set(result.metrics) == {"auc_roc", "recall_0.5", "precision_0.5"}
+    assert result.metrics["auc_roc"] > 0.8
+    assert result.params["rounds"] in PARAMS.rounds
+
+
+def test_one_class_is_rejected(rows):
+    with pytest.raises(ValueError):
+        training.train(rows.withColumn("label", F.lit(0)), PARAMS)
+
+
+def test_registry_keeps_versions(spark, result, rows, tmp_path):
+    root = str(tmp_path / "models")
+    with pytest.raises(LookupError):
+        registry.load_latest(spark, root)
+    for auc in (0.6, 0.7):
+        version = registry.save_model(
+            result.model, root, {"auc_roc": auc}, result.params, result.example
+        )
+    assert version == 2
+    entries = registry.registry(spark, root).orderBy("version").collect()
+    assert [e.metrics["auc_roc"] for e in entries] == [0.6, 0.7]
+    assert entries[-1].params["max_depth"] == "3" and '"active_days_7"' in entries[-1].signature
+    assert entries[-1].input_example.count("watch_time_ratio") == 3
+    loaded = registry.load_latest(spark, root)
+    assert scoring.expected_features(loaded) == FEATURES
+    both = [training.score(rows, m).select("churn_probability").collect() for m in (loaded, result.model)]
+    assert both[0] == both[1]
+    assert registry.load_model(spark, root, 1).uid == result.model.uid
+
+
+def test_scores_of_one_day(snapshot, result):
+    out = scoring.score_day(snapshot, result.model, as_of=DAY + timedelta(days=5))
+    assert out.columns == ["user_id", "event_date", "churn_probability", "probability_band"]
+    found = {r.user_id: r for r in out.collect()}
+    assert set(found) == {1, 2}
+    assert all(0 < r.churn_probability < 1 and r.event_date == DAY for r in found.values())
+    assert found[1].churn_probability < found[2].churn_probability
+    bands, report = scoring.score_report(out)
+    assert sum(r.n for r in bands.collect()) == report.first()["count"] == 2
+
+
+def test_scoring_fails_fast(snapshot, result):
+    with pytest.raises(ValueError, match="is_active"):
+        scoring.score_day(snapshot.drop("is_active"), result.model, day=DAY)
+    with pytest.raises(RuntimeError, match="no active users on 2023-01-01"):
+        scoring.score_day(snapshot, result.model, day="2023-01-01")
+    unknown = snapshot.withColumn("churn_risk_level", F.lit("Lost"))
+    with pytest.raises(PySparkException, match="not a known level: Lost"):
+        scoring.score_day(unknown, result.model, day=DAY).collect()
+
+
+def test_rounds_fall_back_to_the_most(rows):
+    early = rows.withColumn("label", (F.col("event_date") < "2024-01-03").cast("int"))
+    assert training.choose_rounds(early, PARAMS) == 4
+    assert training.choose_rounds(rows, training.TrainParams(rounds=(7,))) == 7
+
+
+def test_training_rows_are_complete(spark, snapshot, tmp_path):
+    history = spark.createDataFrame(
+        [(1, DAY + timedelta(days=1)), (9, DAY + timedelta(days=7))], "user_id long, activity_date date"
+    )
+    rows = training.training_rows(snapshot, history).orderBy("user_id", "event_date").collect()
+    assert [(r.user_id, r.label) for r in rows] == [(1, 0), (1, 0), (2, 1), (3, 1)]
+    assert not any(r[name] is None or math.isnan(r[name]) for r in rows for name in FEATURES)

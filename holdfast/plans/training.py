@@ -25,6 +25,9 @@ from holdfast.operators.splits import split_for_training, time_split
 from holdfast.session import ensure_checkpoint_dir, materialise
 from holdfast.sources.registry import save_model
 
+# A pass over fewer rows than this is not worth another task.
+ROWS_PER_TASK = 50_000
+
 
 @dataclass(frozen=True)
 class TrainParams:
@@ -59,8 +62,11 @@ def training_rows(snapshot: DataFrame, history: DataFrame, horizon: int = 7) ->
 def fit(rows: DataFrame, rounds: int, params: TrainParams) -> PipelineModel:
     """Fit the trees on ``rows``, positives weighted by the class ratio."""
     ensure_checkpoint_dir(rows.sparkSession)
-    weight = class_weight(rows, factor=params.weight_factor).first()["pos_weight"]
-    weighted = rows.withColumn("_weight", F.when(F.col("label") == 1, weight or 1.0).otherwise(1.0))
+    classes = class_weight(rows, factor=params.weight_factor).first()
+    weight = classes["pos_weight"] or 1.0
+    weighted = _spread(rows, classes["negatives"] + classes["positives"]).withColumn(
+        "_weight", F.when(F.col("label") == 1, weight).otherwise(1.0)
+    )
     trees = GBTClassifier(
         featuresCol="features",
         labelCol="label",
@@ -75,8 +81,21 @@ def fit(rows: DataFrame, rounds: int, params: TrainParams) -> PipelineModel:
     return Pipeline(stages=[assembler, trees]).fit(weighted)
 
 
+def _spread(rows: DataFrame, count: int) -> DataFrame:
+    """Use all cores once there is work for them: fitting passes over the rows often."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    useful = min(cores, 1 + count // ROWS_PER_TASK)
+    if rows.rdd.getNumPartitions() >= useful:
+        return rows
+    return rows.repartition(useful, *rows.columns)
+
+
 def choose_rounds(rows: DataFrame, params: TrainParams) -> int:
-    """The tree count with the best precision-recall area on the latest rows."""
+    """The tree count with the best precision-recall area on the latest rows.
+
+    One fit with the most trees serves all counts: its first trees are the model
+    of a smaller count.
+    """
     options = sorted(params.rounds)
     if len(options) == 1:
         return options[0]
@@ -84,10 +103,24 @@ def choose_rounds(rows: DataFrame, params: TrainParams) -> int:
     early, late = parts.filter("is_train"), parts.filter("not is_train")
     if not (has_two_classes(early) and has_two_classes(late)):
         return options[-1]
-    areas = {n: auc_pr(score(late, fit(early, n, params))) for n in options}
+    margins = materialise(_margins(late, fit(early, options[-1], params), options))
+    areas = {n: auc_pr(margins, f"first_{n}") for n in options}
     return max(options, key=lambda n: (areas[n], -n))
 
 
+def _margins(rows: DataFrame, model: PipelineModel, options: Sequence[int]) -> DataFrame:
+    """The label and, per tree count, the summed votes of the first trees.
+
+    The probability grows with the sum, so both give the same ranking.
+    """
+    assembler, boosted = model.stages
+    votes = assembler.transform(rows)
+    for number, tree in enumerate(boosted.trees):
+        votes = tree.setPredictionCol(f"_tree_{number}").transform(votes)
+    weighted = [F.col(f"_tree_{n}") * weight for n, weight in enumerate(boosted.treeWeights)]
+    return votes.select("label", *(sum(weighted[1:n], weighted[0]).alias(f"first_{n}") for n in options))
+
+
 def score(rows: DataFrame, model: PipelineModel, out: str = "churn_probability") -> DataFrame:
     """Add the probability of class 1 and leave the model's own columns out."""
     scored = model.transform(rows)

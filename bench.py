@@ -29,7 +29,7 @@ HEADLINE = [
     "daily_scores",
     "campaign_brief",
     "final_copy_prompt",
-    "campaign_messages",
+    "messages",
     "delivery_list",
     "outbox_rows",
 ]

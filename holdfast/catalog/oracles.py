@@ -332,22 +332,22 @@ BODIES = {
     "response_guard": f"""select user_id, case when user_id % 4 = 0 then '{wording.NO_RESPONSE}'
         when user_id % 4 = 1 then 'REFUSAL: not allowed'
         when raw is null then '{wording.BLANK_RESPONSE}' else raw end as response from raw_responses""",
-    "playbook_validity": "select user_id, user_id % 6 in (0, 1) as valid from raw_responses",
+    "playbook_valid": "select user_id, user_id % 6 in (0, 1) as valid from raw_responses",
     "playbook_extract": """select user_id, case when user_id % 6 in (0, 1) then
         '{"hook": "h' || cast(user_id as varchar) || '", "angle": "a", "content_direction": "c", '
         || '"cta": "go", "tone": "calm", "urgency_level": "low"}' end as playbook_json
         from raw_responses""",
-    "playbook_fallbacks": "select * from fallbacks",
+    "playbook_fallback": "select * from fallbacks",
     "copy_parse": "select user_id, "
     + ", ".join(f"{sql} as {name}" for name, sql in _COPY.items())
     + " from copies",
-    "copy_filled": "select user_id, "
+    "copy_defaults": "select user_id, "
     + ", ".join(
         f"coalesce(nullif({sql}, ''), '{_COPY_DEFAULT[name]}') as {name}" for name, sql in _COPY.items()
     )
     + " from copies",
     # Messages and outbox
-    "campaign_messages": "select * from messages",
+    "messages": "select * from messages",
     "delivery_list": """select event_date, user_id, strategy_code, age, gender, plan, churn_date, user_email
         from delivery""",
     "poster_lookup": f"""select x.show_id, x.title, {_POSTER} as poster from (

@@ -10,19 +10,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.functions import scores, text
-from holdfast.functions.responses import (
-    copy_defaults,
-    extract_playbook,
-    guard_response,
-    json_block,
-    parse_copy,
-    playbook_fallback,
-    playbook_valid,
-    strict_json,
-)
+from holdfast.functions import responses, scores, text
 from holdfast.operators import aggregates, filters, labels, ordering, shows, splits
-from holdfast.plans import campaign, content, messages, outbox, scoring, training
+from holdfast.plans import campaign, content, outbox, scoring, training
+from holdfast.plans.messages import Generate, build_messages
 from holdfast.session import ensure_checkpoint_dir, materialise
 from holdfast.sources.standins import AS_OF, LAST_SNAPSHOT, Inputs
 from holdfast.sources.tables import activity_history, read_date, replace_date
@@ -45,7 +36,7 @@ def registered_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def sample_generator() -> messages.Generate:
+def sample_generator() -> Generate:
     """A stand-in for the text generator: good, wrapped and unusable answers."""
 
     def playbook(strategy: str) -> str:
@@ -101,7 +92,7 @@ def _messages(inputs: Inputs) -> DataFrame:
         DAY,
         limit=None,
     )
-    return messages.build_messages(brief, sample_generator(), RUN_TS, parallelism=None)
+    return build_messages(brief, sample_generator(), RUN_TS, parallelism=None)
 
 
 def _delivery(inputs: Inputs) -> DataFrame:
@@ -401,7 +392,7 @@ def playbook_prompt(inputs: Inputs) -> DataFrame:
 def final_copy_prompt(inputs: Inputs) -> DataFrame:
     facts = text.with_guide(campaign.with_facts(inputs.campaign_targets, inputs.snapshot))
     lists = content.content_list(inputs.watch_events, inputs.content_master, DAY)
-    ready = facts.join(lists, "user_id", "left").withColumn("playbook_json", playbook_fallback())
+    ready = facts.join(lists, "user_id", "left").withColumn("playbook_json", responses.playbook_fallback())
     return ready.select("user_id", "event_date", text.final_copy_prompt().alias("prompt"))
 
 
@@ -413,40 +404,40 @@ def response_guard(inputs: Inputs) -> DataFrame:
     kind = F.col("user_id") % 4
     return inputs.raw_responses.select(
         "user_id",
-        guard_response(kind != 0, F.col("raw"), F.when(kind == 1, "not allowed")).alias("response"),
+        responses.guard_response(kind != 0, F.col("raw"), F.when(kind == 1, "not allowed")).alias("response"),
     )
 
 
 @_registered
-def playbook_validity(inputs: Inputs) -> DataFrame:
-    valid = playbook_valid(strict_json(json_block(F.col("raw"))))
+def playbook_valid(inputs: Inputs) -> DataFrame:
+    valid = responses.playbook_valid(responses.strict_json(responses.json_block(F.col("raw"))))
     return inputs.raw_responses.select("user_id", valid.alias("valid"))
 
 
 @_registered
 def playbook_extract(inputs: Inputs) -> DataFrame:
-    return inputs.raw_responses.select("user_id", extract_playbook(F.col("raw")).alias("playbook_json"))
+    return inputs.raw_responses.select("user_id", responses.extract_playbook(F.col("raw")).alias("playbook_json"))
 
 
 @_registered
-def playbook_fallbacks(inputs: Inputs) -> DataFrame:
+def playbook_fallback(inputs: Inputs) -> DataFrame:
     return _guided_targets(inputs).select(
-        "user_id", "event_date", playbook_fallback().alias("playbook_json")
+        "user_id", "event_date", responses.playbook_fallback().alias("playbook_json")
     )
 
 
 @_registered
 def copy_parse(inputs: Inputs) -> DataFrame:
-    parsed = _copy_responses(inputs).select("user_id", parse_copy(F.col("raw")).alias("copy"))
+    parsed = _copy_responses(inputs).select("user_id", responses.parse_copy(F.col("raw")).alias("copy"))
     return parsed.select("user_id", "copy.*").select(
         "user_id", "push_title", "push_body", "email_title", "email_intro", _recommendations()
     )
 
 
 @_registered
-def copy_filled(inputs: Inputs) -> DataFrame:
-    parsed = _copy_responses(inputs).select("user_id", parse_copy(F.col("raw")).alias("copy"))
-    return copy_defaults(parsed.select("user_id", "copy.*")).select(
+def copy_defaults(inputs: Inputs) -> DataFrame:
+    parsed = _copy_responses(inputs).select("user_id", responses.parse_copy(F.col("raw")).alias("copy"))
+    return responses.copy_defaults(parsed.select("user_id", "copy.*")).select(
         "user_id", "push_title", "push_body", "email_title", "email_intro", _recommendations()
     )
 
@@ -455,7 +446,7 @@ def copy_filled(inputs: Inputs) -> DataFrame:
 
 
 @_registered
-def campaign_messages(inputs: Inputs) -> DataFrame:
+def messages(inputs: Inputs) -> DataFrame:
     return _messages(inputs).select(
         "event_date",
         "user_id",

@@ -32,8 +32,8 @@ def activity_history(df: DataFrame) -> DataFrame:
     return df.select("user_id", "event_date").withColumnRenamed("event_date", "activity_date")
 
 
-def replace_date(df: DataFrame, path: str, day: date | str, column: str = "event_date") -> None:
-    """Replace the rows of one date at ``path`` and keep all other dates.
+def replace_date(df: DataFrame, path: str, day: date | str, column: str = "event_date") -> int:
+    """Replace the rows of one date at ``path``, keep all other dates, count the rows.
 
     A row of another date fails the write before anything is committed. Dynamic
     overwrite leaves a partition alone when there is no row for it, so an empty
@@ -57,10 +57,12 @@ def replace_date(df: DataFrame, path: str, day: date | str, column: str = "event
         .partitionBy(column)
         .parquet(path)
     )
-    if written.get["rows"] == 0:
+    rows = written.get["rows"]
+    if rows == 0:
         (
             df.drop(column)
             .limit(0)
             .write.mode("overwrite")
             .parquet(f"{path}/{column}={day}")
         )
+    return rows

@@ -22,7 +22,7 @@ def table(spark, tmp_path):
 
 
 def test_replaces_one_date_only(spark, table):
-    replace_date(spark.createDataFrame([(D2, 9), (D2, 8)], SCHEMA), table, D2)
+    assert replace_date(spark.createDataFrame([(D2, 9), (D2, 8)], SCHEMA), table, D2) == 2
     assert ids(read_date(spark, table, D1)) == [1, 2]
     assert ids(read_date(spark, table, D2)) == [8, 9]
 
@@ -42,7 +42,7 @@ def test_row_of_another_date_is_rejected(spark, table, stray):
 
 
 def test_empty_frame_clears_the_date(spark, table):
-    replace_date(spark.createDataFrame([], SCHEMA), table, D2)
+    assert replace_date(spark.createDataFrame([], SCHEMA), table, D2) == 0
     assert ids(read_date(spark, table, D2)) == []
     assert ids(read_table(spark, table)) == [1, 2]
 

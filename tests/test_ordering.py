@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators.aggregates import (
+    auc_pr,
     auc_roc,
     class_weight,
     describe_scores,
@@ -95,6 +96,18 @@ def test_auc_matches_pairs(rows):
     assert np.isclose(auc_roc(rows, "p"), expected)
 
 
+def test_auc_with_one_class_or_one_score(rows, spark):
+    assert np.isnan(auc_roc(rows.filter("label = 1"), "p"))
+    assert auc_roc(rows.withColumn("p", F.lit(0.5)), "p") == 0.5
+    perfect = spark.createDataFrame([(0.1, 0), (0.2, 0), (0.9, 1), (None, 1)], "p double, label int")
+    assert auc_roc(perfect, "p") == 1.0
+
+
+def test_pr_area_of_a_perfect_ranking(spark):
+    df = spark.createDataFrame([(0.1, 0), (0.2, 0), (0.9, 1), (0.8, 1)], "p double, label int")
+    assert auc_pr(df, "p") == 1.0
+
+
 def test_threshold_is_strict(spark):
     df = spark.createDataFrame(
         [(0.5, 1), (0.6, 1), (0.9, 0), (0.1, 0)], "churn_probability double, label int"

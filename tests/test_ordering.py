@@ -12,7 +12,7 @@ from holdfast.operators.aggregates import (
     threshold_metrics,
     value_counts,
 )
-from holdfast.operators.ordering import exact_percentiles, row_at, with_row_index
+from holdfast.operators.ordering import _values_in_spans, exact_percentiles, row_at, with_row_index
 from holdfast.operators.splits import split_for_training, stratified_split, time_split
 
 
@@ -52,6 +52,19 @@ def test_percentiles_match_numpy(rows, spark):
     assert exact_percentiles(some.limit(0), "p", [0.5]) == [None]
 
 
+@pytest.mark.parametrize("spread", ["rand(3)", "round(rand(3), 2)", "if(rand(3) < 0.4, 0.5, rand(4))"])
+def test_percentiles_of_many_rows(spark, spread):
+    df = spark.range(0, 150_000, 1, 8).select(F.expr(spread).alias("p")).cache()
+    values, shares = df.toPandas().p, [0, 0.25, 0.26, 0.5, 0.75, 0.9, 1]
+    assert np.allclose(exact_percentiles(df, "p", shares), np.quantile(values, shares), rtol=1e-12)
+
+
+def test_spans_that_miss_a_rank_are_noticed(rows):
+    values = rows.select(F.col("p").alias("value"))
+    assert _values_in_spans(values, [(0.0, 0.1)], [899]) is None
+    assert np.allclose(exact_percentiles(rows, "p", [0.1, 0.9], sort_below=0), exact_percentiles(rows, "p", [0.1, 0.9]))
+
+
 def test_describe(rows, spark):
     report = describe_scores(rows, "p").first()
     values = np.array([r.p for r in rows.collect()])

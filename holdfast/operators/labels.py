@@ -18,7 +18,9 @@ def safe_zone(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> Data
     return snapshot.filter(F.col("event_date") <= F.date_sub(last_day, horizon))
 
 
-def label_churn(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> DataFrame:
+def label_churn(
+    snapshot: DataFrame, history: DataFrame, horizon: int = 7, deduplicate: bool = True
+) -> DataFrame:
     """Label the safe-zone snapshots, dropping exact duplicates.
 
     The horizon of a snapshot reaches over the rest of its own block of
@@ -26,8 +28,13 @@ def label_churn(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> Da
     and block, the last active day of the block and the first of the following
     one: the range join becomes an equi join on a key with one row per user and
     block, and a snapshot row is never multiplied.
+
+    Where the snapshot is known to hold no duplicates, ``deduplicate=False`` saves
+    one of its two shuffles and lets unused columns be pruned from the scan.
     """
-    settled = safe_zone(snapshot, history, horizon).dropDuplicates()
+    settled = safe_zone(snapshot, history, horizon)
+    if deduplicate:
+        settled = settled.dropDuplicates()
     reach = _activity_reach(history, horizon)
     active = (F.col("_last_here") > F.col("event_date")) | (
         F.col("_first_next") <= F.date_add("event_date", horizon)
@@ -47,7 +54,7 @@ def label_churn_window(snapshot: DataFrame, history: DataFrame, horizon: int = 7
     The frame runs over distinct user days only, so a user's group is bounded by
     the calendar however often the user occurs in either input.
     """
-    settled = safe_zone(snapshot, history, horizon).dropDuplicates()
+    settled = safe_zone(snapshot, history, horizon)
     days = (
         settled.select("user_id", "event_date", F.lit(None).cast("date").alias("_active"))
         .unionByName(
@@ -63,7 +70,7 @@ def label_churn_window(snapshot: DataFrame, history: DataFrame, horizon: int = 7
     )
     ahead = Window.partitionBy("user_id").orderBy(F.unix_date("event_date")).rangeBetween(1, horizon)
     latest = days.select("user_id", "event_date", F.max("_active").over(ahead).alias("_latest"))
-    return lookup(settled, latest, ["user_id", "event_date"]).select(
+    return lookup(settled.dropDuplicates(), latest, ["user_id", "event_date"]).select(
         *snapshot.columns, _label(F.col("_latest").isNotNull())
     )
 

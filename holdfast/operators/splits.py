@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,30 +19,29 @@ def time_split(
     tie: Sequence[str] = ("user_id",),
     out: str = "is_train",
 ) -> DataFrame:
-    """Mark the first ``share`` of the rows, by date and then by ``tie``, as train.
+    """Mark the first ``share`` of the rows, by ``order`` and then ``tie``, as train.
 
-    Row counts per date find the date the cut falls on; only that date's keys are
-    sorted to find the exact cut. All rows then compare with one key, so a date
-    with a large part of the rows costs no more than its own keys. Rows equal in
-    every column stay on the same side.
+    ``order`` is a date or timestamp. Row counts per day find the day the cut falls
+    on; only that day's keys are sorted to find the exact cut. All rows then compare
+    with one key, so a day with a large part of the rows costs no more than its own
+    keys. Rows equal in every column stay on the same side.
     """
-    per_date = df.groupBy(order).count().collect()  # one row per calendar day
-    total = sum(row["count"] for row in per_date)
-    left = int(total * share)
-    for row in sorted((r for r in per_date if r[order] is not None), key=lambda r: r[order]):
+    per_day = df.groupBy(F.to_date(order).alias("day")).count().collect()  # the calendar's length
+    left = int(sum(row["count"] for row in per_day) * share)
+    for row in sorted((r for r in per_day if r["day"] is not None), key=lambda r: r["day"]):
         if left < row["count"]:
-            return df.withColumn(out, _before_cut(df, order, row[order], tie, left))
+            return df.withColumn(out, _before_cut(df, order, row["day"], tie, left))
         left -= row["count"]
     return df.withColumn(out, F.col(order).isNotNull())
 
 
-def _before_cut(df: DataFrame, order: str, day, tie: Sequence[str], left: int) -> Column:
+def _before_cut(df: DataFrame, order: str, day: date, tie: Sequence[str], left: int) -> Column:
     cut_day = F.lit(day)
-    earlier = F.col(order) < cut_day
+    earlier = F.to_date(order) < cut_day
     if left == 0:
         return F.coalesce(earlier, F.lit(False))
-    same = F.col(order) == cut_day
-    keys = {f"_k{i}": F.col(name) for i, name in enumerate(tie)}
+    same = F.to_date(order) == cut_day
+    keys = {f"_k{i}": F.col(name) for i, name in enumerate([order, *tie])}
     keys["_row"] = F.xxhash64(*df.columns)
     return F.when(same, _cut_at(df, same, keys, left - 1)).otherwise(
         F.coalesce(earlier, F.lit(False))

@@ -53,9 +53,11 @@ class TrainResult:
     example: DataFrame
 
 
-def training_rows(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> DataFrame:
+def training_rows(
+    snapshot: DataFrame, history: DataFrame, horizon: int = 7, deduplicate: bool = True
+) -> DataFrame:
     """Labelled feature rows, written down once: training reads them many times."""
-    labelled = features(label_churn(snapshot, history, horizon))
+    labelled = features(label_churn(snapshot, history, horizon, deduplicate))
     return materialise(labelled.select("user_id", "event_date", *FEATURES, "label"))
 
 

@@ -63,6 +63,13 @@ def test_forms_match_brute_force(spark, form, horizon):
     assert labels(form(*frames, horizon)) == expected
 
 
+def test_unique_snapshots_need_no_second_shuffle(spark):
+    snapshot = spark.createDataFrame([(1, day(0), "a"), (1, day(0), "a"), (2, day(0), "b")], SNAPSHOT)
+    history = spark.createDataFrame([(1, day(3)), (5, day(40))], HISTORY)
+    rows = sorted((r.user_id, r.label) for r in label_churn(snapshot, history, deduplicate=False).collect())
+    assert rows == [(1, 0), (1, 0), (2, 1)]
+
+
 def test_safe_zone_keeps_observed_horizons(spark):
     snapshot = spark.createDataFrame([(1, day(n), "") for n in range(5)], SNAPSHOT)
     history = spark.createDataFrame([(1, day(9))], HISTORY)

@@ -85,6 +85,19 @@ def test_time_split_is_the_first_share(rows, share):
         assert max(map(tuple, train[key].values)) <= min(map(tuple, test[key].values))
 
 
+def test_time_split_by_timestamp(spark):
+    df = spark.range(1000).selectExpr("id as user_id", "timestamp_seconds(1704067200 + (id * 7919) % 1000 * 600) as ts")
+    parts = time_split(df, 0.8, order="ts").toPandas()
+    train, test = parts[parts.is_train], parts[~parts.is_train]
+    assert len(train) == 800 and train.ts.max() < test.ts.min()
+
+
+def test_rows_without_a_date_are_never_train(spark):
+    df = spark.createDataFrame([(1, None), (2, date(2024, 1, 1)), (3, date(2024, 1, 2))], "user_id long, event_date date")
+    assert {r.user_id for r in time_split(df, 1.0).filter("is_train").collect()} == {2, 3}
+    assert {r.user_id for r in time_split(df, 0.4).filter("is_train").collect()} == {2}
+
+
 def test_stratified_split_keeps_label_shares(rows):
     for label, part in stratified_split(rows).toPandas().groupby("label"):
         assert part.is_train.sum() == int(len(part) * 0.8)

@@ -231,6 +231,8 @@ BODIES = {
         where user_id in (select user_id from critical order by priority_rank, user_id limit 200)""",
     "active_users": """select user_id, event_date, churn_risk_level from snapshot
         where event_date = date '2024-01-30' and is_active = 1""",
+    "active_count": """select event_date, count(*) as n from snapshot where is_active = 1
+        group by event_date""",
     "latest_date": """select coalesce(max(event_date), date '2024-01-30') as event_date from snapshot
         where event_date <= date '2024-01-31' - 1""",
     "stored_scores": "select * from predictions where event_date = date '2024-01-30'",
@@ -360,6 +362,11 @@ BODIES = {
         left join poster_paths p on p.title = x.title group by user_id""",
     "outbox_cards": """select user_id, replace(push_body, chr(10), chr(10) || chr(10)) as body
         from delivery""",
+    "outbox_mails": """select user_id, email_title as subject, user_email as address,
+        cast(len(string_split(recommendations, ';')) as int) as images,
+        cast(len(string_split(recommendations, ';')) - 1 as int) as cells
+        from delivery where user_email is not null""",
+    "outbox_trial": "select * from sent where user_id = (select min(user_id) from delivery)",
     "outbox_counts": "select event_date, channel, count(*) as n from sent group by event_date, channel",
 }
 

@@ -153,6 +153,12 @@ def active_users(inputs: Inputs) -> DataFrame:
     return filters.active_on(inputs.snapshot, DAY).select("user_id", "event_date", "churn_risk_level")
 
 
+@_registered
+def active_count(inputs: Inputs) -> DataFrame:
+    per_day = inputs.snapshot.filter(F.col("is_active") == 1).groupBy("event_date")
+    return per_day.agg(F.count(F.lit(1)).alias("n"))
+
+
 @_registered
 def latest_date(inputs: Inputs) -> DataFrame:
     return filters.latest_date(inputs.snapshot, AS_OF)
@@ -502,3 +508,22 @@ def outbox_cards(inputs: Inputs) -> DataFrame:
 def outbox_counts(inputs: Inputs) -> DataFrame:
     rows = outbox.outbox(_delivery(inputs), inputs.posters)
     return rows.groupBy("event_date", "channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_registered
+def outbox_mails(inputs: Inputs) -> DataFrame:
+    mails = outbox.outbox(_delivery(inputs), inputs.posters).filter(F.col("channel") == "email")
+    page = F.get_json_object("payload", "$.content.html")
+    return mails.select(
+        "user_id",
+        F.get_json_object("payload", "$.content.subject").alias("subject"),
+        F.get_json_object("payload", "$.recipients.to[0].address").alias("address"),
+        F.regexp_count(page, F.lit("<img ")).alias("images"),
+        F.regexp_count(page, F.lit("<td width")).alias("cells"),
+    )
+
+
+@_registered
+def outbox_trial(inputs: Inputs) -> DataFrame:
+    rows = outbox.outbox(_delivery(inputs), inputs.posters, limit=1)
+    return rows.select("event_date", "user_id", "channel", "subject", "recipient")

@@ -292,7 +292,7 @@ def band_counts(inputs: Inputs) -> DataFrame:
 
 @_registered
 def score_describe(inputs: Inputs) -> DataFrame:
-    report = aggregates.describe_scores(inputs.predictions)
+    report = aggregates.describe_scores(materialise(inputs.predictions))
     return report.select(
         "count", *(F.round(name, 6).alias(name) for name in report.columns if name != "count")
     )

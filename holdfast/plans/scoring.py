@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.scores import FEATURES, align_features, features, probability_band
+from holdfast.functions.scores import align_features, features, probability_band
 from holdfast.operators.aggregates import describe_scores, value_counts
 from holdfast.operators.checks import require_columns, require_rows
 from holdfast.operators.filters import active_on, pick_date

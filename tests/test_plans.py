@@ -10,8 +10,8 @@ from holdfast.operators.filters import critical_targets, for_users
 from holdfast.operators.labels import label_churn
 from holdfast.operators.shows import top_shows, watch_minutes
 from holdfast.plans.campaign import with_facts
-from holdfast.plans.content import content_list
-from holdfast.plans.outbox import delivery_list
+from holdfast.plans.content import content_list, with_titles
+from holdfast.plans.outbox import delivery_list, with_items
 from holdfast.session import materialise
 from holdfast.sources.standins import LAST_SNAPSHOT as DAY
 from holdfast.sources.standins import Inputs
@@ -159,6 +159,39 @@ def test_hot_user_is_split_in_the_user_filter(spark, skew_settings):
     assert kept.count() == 20_001
 
 
+def test_hot_show_is_split_in_the_title_join(spark, skew_settings):
+    shows = materialise(
+        spark.range(0, 60_000, 1, 16).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("user_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("show_id"),
+            F.lit(1).alias("rn"),
+        )
+    )
+    master = spark.createDataFrame([(-1, "hot"), (-1, "other"), (7, "seven")], "show_id long, title string")
+    listed = with_titles(shows, master).groupBy("user_id").agg(F.collect_list("title").alias("titles"))
+    assert "skew=true" in final_plan(listed)
+    assert listed.filter("titles[0] = 'hot'").count() == 20_000
+
+
+def test_hot_list_is_split_in_the_outbox(spark, skew_settings):
+    recs = F.array(
+        F.struct(
+            F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("title"),
+            F.lit("d").alias("description"),
+        )
+    )
+    delivery = materialise(
+        spark.range(0, 30_000, 1, 16).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("user_email"), recs.alias("rec_list")
+        )
+    )
+    posters = spark.createDataFrame([("same", "tv", "/s.jpg")], "title string, media_type string, poster_path string")
+    found = with_items(delivery, posters)
+    assert "skew=true" in final_plan(found)
+    assert found.filter("items[0].poster like '%/s.jpg'").count() == 10_000
+    assert found.count() == 30_000
+
+
 def test_labels_shuffle_the_snapshot_twice_at_most(inputs, no_broadcast):
     snapshot = materialise(inputs.snapshot)
     history = materialise(activity_history(inputs.daily_watch_time))

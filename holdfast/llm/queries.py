@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from holdfast.llm import urls
+from holdfast.llm import langid, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,26 @@ def op1_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _fold(parts: int) -> Column:
+    """Remainder of the crc32 of the id's text."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op3_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    """Language of every text, learned from the rows that are not held out."""
+    docs = _table(spark, directory, "documents").withColumn("held_out", F.coalesce(_fold(5) == 0, F.lit(False)))
+    model = langid.fit_languages(docs.filter(~F.col("held_out")))
+    return langid.predict_languages(docs, model, keep=["doc_id", "held_out"])
+
+
+def op4_quality(spark: SparkSession, directory: str) -> DataFrame:
+    """Quality of every text, learned from labels that are not held out."""
+    docs = _table(spark, directory, "documents").withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
+    labels = _table(spark, directory, "labels").filter(_fold(3) != 1)
+    model = quality.fit_quality(docs, labels)
+    return quality.score_quality(docs, model, keep=["doc_id", "held_out"])
+
+
 def llm_queries() -> dict[str, Query]:
     named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return named

@@ -23,6 +23,20 @@ select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdic
 from parts p left join fitting f using (page_id)
 """
 
+_ORACLES["op2_warc_revisits"] = """
+with payloads as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+    sha1(coalesce(html, '')) as payload_digest
+  from pages),
+originals as (
+  select payload_digest, max(page_id) as original from payloads
+  where payload_bytes >= 1000 group by payload_digest)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+  case when original <> page_id then 'revisit' else 'response' end as record_type,
+  case when original <> page_id then original end as refers_to
+from payloads left join originals using (payload_digest)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(_ORACLES)

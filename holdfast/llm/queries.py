@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import langid, quality, urls
+import public_tokenizers
+
+from holdfast.llm import langid, quality, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,16 @@ def op1_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_warc_revisits(spark: SparkSession, directory: str) -> DataFrame:
+    """Every page as a record of the archives, repeated payloads as revisits."""
+    headers = warc.write_archives(_table(spark, directory, "pages"))
+    files = warc.rewrite_archives(warc.resolve(headers))
+    records = warc.read_archives(files, payloads=False)
+    return warc.with_originals(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def _fold(parts: int) -> Column:
     """Remainder of the crc32 of the id's text."""
     return F.crc32(F.col("doc_id").cast("string")) % parts
@@ -49,6 +61,12 @@ def op4_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.score_quality(docs, model, keep=["doc_id", "held_out"])
 
 
+def op5_simple8b_tokens(spark: SparkSession, directory: str) -> DataFrame:
+    """Token ids of every document, written to files and read back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.read_tokens(tokens.write_tokens(_table(spark, directory, "documents"), path))
+
+
 def llm_queries() -> dict[str, Query]:
     named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return named

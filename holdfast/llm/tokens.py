@@ -18,7 +18,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,32 +43,48 @@ _ESCAPE = (1 << 60) - 1
 _U64 = np.uint64
 
 
+# The least ids that need 1, 2, ... bits, and 61 for those that need an escape.
+_LIMITS = np.array([1 << b for b in range(60)] + [_ESCAPE], _U64)
+_NEAR = np.sort(COUNTS)
+
+
+def _first_fit(most: np.ndarray, first: int) -> np.ndarray:
+    """The selector of most ids whose width suffices; 16 if the first id needs an escape."""
+    fits = most[:, COUNTS[first:] - 1] <= WIDTHS[first:]
+    return np.where(fits.any(axis=1), first + fits.argmax(axis=1), 16)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and the word offset of each block, one more than blocks."""
     ids = np.ascontiguousarray(ids, _U64)
     blocks = -(-len(ids) // BLOCK_IDS)
     begin = np.arange(blocks, dtype=np.int64) * BLOCK_IDS
     end = np.minimum(begin + BLOCK_IDS, len(ids))
-    too_wide = []  # ids before each position that need more bits than the selector has
-    for width in WIDTHS:
-        wide = ids >= _U64(_ESCAPE if width == 60 else 1 << int(width))
-        too_wide.append(np.concatenate(([0], np.cumsum(wide, dtype=np.int32))))
+    # Bits of each id, block by block; what follows the end of a block needs none.
+    bits = np.zeros((blocks, BLOCK_IDS + _NEAR[-1] + 1), np.uint8)
+    flat = np.zeros(blocks * BLOCK_IDS, np.uint8)
+    flat[: len(ids)] = np.searchsorted(_LIMITS, ids, "right")
+    bits[:, :BLOCK_IDS] = flat.reshape(blocks, BLOCK_IDS)
+    stride, bits = bits.shape[1] if blocks else 0, bits.reshape(-1)
     steps: list[tuple[np.ndarray, ...]] = []
-    live, at, number = np.arange(blocks), begin.copy(), np.zeros(blocks, np.int64)
+    live, at, number = np.arange(blocks), np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+    size = end - begin
     while len(live):
-        here, stop = at[live], end[live]
-        selector = np.full(len(live), -1)
-        for s, count in enumerate(COUNTS):
-            reach = np.minimum(here + count, stop)
-            fits = (selector < 0) & (too_wide[s][reach] == too_wide[s][here])
-            selector[fits] = s
-        escaped = selector < 0
+        here = at[live]
+        window = live * stride + here
+        most = np.maximum.accumulate(bits[window[:, None] + np.arange(15)], axis=1)
+        selector = _first_fit(most, 5)
+        low = np.flatnonzero(most[:, -1] <= 3)
+        if len(low):
+            wide = np.maximum.accumulate(bits[window[low, None] + np.arange(_NEAR[-1])], axis=1)
+            selector[low] = _first_fit(wide, 0)
+        escaped = selector == 16
         selector[escaped] = 15
-        taken = np.minimum(COUNTS[selector], stop - here)
-        steps.append((live, number[live], here, selector, taken, escaped))
+        taken = np.minimum(COUNTS[selector], size[live] - here)
+        steps.append((live, number[live], here + begin[live], selector, taken, escaped))
         number[live] += 1 + escaped
         at[live] += taken
-        live = live[at[live] < end[live]]
+        live = live[at[live] < size[live]]
     offsets = np.concatenate(([0], np.cumsum(number)))
     words = np.zeros(offsets[-1], _U64)
     if not steps:
@@ -76,12 +92,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     block, place, here, selector, taken, escaped = (np.concatenate(x) for x in zip(*steps))
     place = offsets[block] + place
     words[place] = selector.astype(_U64) << _U64(60)
-    for k in range(int(COUNTS[2])):
-        some = (taken > k) & (selector >= 2) & ~escaped
-        if not some.any():
-            break
-        shift = (WIDTHS[selector[some]] * k).astype(_U64)
-        words[place[some]] |= ids[here[some] + k] << shift
+    for s in range(2, 16):
+        of = np.flatnonzero((selector == s) & ~escaped)
+        for k in range(int(COUNTS[s])):
+            some = of[taken[of] > k]
+            words[place[some]] |= ids[here[some] + k] << _U64(int(WIDTHS[s]) * k)
     words[place[escaped]] |= _U64(_ESCAPE)
     words[place[escaped] + 1] = ids[here[escaped]]
     return words, offsets
@@ -194,8 +209,8 @@ class Encoder:
         if len(self.number) > CACHED_PIECES:
             self._forget()
         split = [self.pieces(t) for t in texts]
-        flat = [p for pieces in split for p in pieces]
-        new = list(dict.fromkeys(p for p in flat if p not in self.number))
+        flat = list(chain.from_iterable(split))
+        new = list(set(flat).difference(self.number))
         if new:
             plain = [p[1:] if p[:1] == "\0" else " " + p for p in new]
             found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)

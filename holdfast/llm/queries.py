@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from holdfast.llm import langid, quality, tokens, urls, warc
+from holdfast.llm import langid, quality, substrings, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,12 @@ def op5_simple8b_tokens(spark: SparkSession, directory: str) -> DataFrame:
     return tokens.read_tokens(tokens.write_tokens(_table(spark, directory, "documents"), path))
 
 
+def op7_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """Every document without the words of repeated windows."""
+    kept = substrings.remove_repeats(_table(spark, directory, "documents"), keep=["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Query]:
     named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return named

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from holdfast.llm import langid, quality, substrings, tokens, urls, warc
+from holdfast.llm import langid, neardup, quality, substrings, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,11 @@ def op5_simple8b_tokens(spark: SparkSession, directory: str) -> DataFrame:
     return tokens.read_tokens(tokens.write_tokens(_table(spark, directory, "documents"), path))
 
 
+def op6_hyperminhash(spark: SparkSession, directory: str) -> DataFrame:
+    """Every document with its component of near-duplicates."""
+    return neardup.near_duplicates(_table(spark, directory, "documents"), percent=85)
+
+
 def op7_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """Every document without the words of repeated windows."""
     kept = substrings.remove_repeats(_table(spark, directory, "documents"), keep=["doc_id"])

@@ -252,8 +252,13 @@ def _record(fields: dict[str, str], block: bytes, payloads: bool) -> tuple:
 
 
 def with_originals(records: DataFrame) -> DataFrame:
-    """Join revisit records to their responses: adds ``refers_to``, the response's page id."""
-    responses = records.filter("record_type = 'response'").select(
+    """Join revisit records to their responses: adds ``refers_to``, the response's page id.
+
+    All columns but the payload are kept. They are written first: Spark knows the size
+    of a table, but not that of what a Python reader returns, and would broadcast it.
+    """
+    headers = stored(records.drop("payload"), "record-headers")
+    responses = headers.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")
     )
-    return lookup(records, responses, ["refers_to_id"])
+    return lookup(headers, responses, ["refers_to_id"])

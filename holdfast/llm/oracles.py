@@ -37,6 +37,29 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
 from payloads left join originals using (payload_digest)
 """
 
+_ORACLES["op10_decontamination"] = r"""
+with texts as (select 0 as kind, doc_id as id, text from documents
+  union all select 1, item_id, text from benchmark),
+split as (select kind, id, string_split_regex(lower(text), '[\x20\x09-\x0D]+') as w from texts),
+unnested as (select kind, id, unnest(w) as word, generate_subscripts(w, 1) as place from split),
+placed as (
+  select kind, id, word, count(*) over (partition by kind, id) as n,
+    row_number() over (partition by kind, id order by place) as i
+  from unnested where word <> ''),
+runs as (
+  select kind, id, n, i, case when n >= 5 then concat_ws(' ', word, lead(word, 1) over p,
+      lead(word, 2) over p, lead(word, 3) over p, lead(word, 4) over p)
+    else 'short ' || string_agg(word, ' ') over (p rows between unbounded preceding and unbounded following)
+    end as shingle
+  from placed window p as (partition by kind, id order by i)),
+shingled as (select distinct kind, id, shingle from runs where i <= greatest(n - 4, 1)),
+items as (select id, shingle, count(*) over (partition by id) as n from shingled where kind = 1)
+select d.id as doc_id, i.id as item_id, cast(any_value(n) as int) as n_shingles,
+  cast(count(*) as int) as n_found
+from items i join shingled d on d.kind = 0 and d.shingle = i.shingle
+group by d.id, i.id having 100 * count(*) >= 80 * any_value(n)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(_ORACLES)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from holdfast.llm import langid, neardup, quality, substrings, tokens, urls, warc
+from holdfast.llm import decontam, langid, neardup, packing, quality, substrings, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,16 @@ def op7_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_length_buckets(spark: SparkSession, directory: str) -> DataFrame:
+    """Every document's place in the batches of its length bucket."""
+    return packing.pack(_table(spark, directory, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    return decontam.find_items(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
     named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return named

@@ -33,6 +33,7 @@ MAGIC = b"HFTOKS8B"
 BLOCK_IDS, FILE_IDS = 1_024, 4_000_000
 END_ID = 2
 TASKS = 2_000
+_JOINED = 1_000  # new pieces encoded as one text
 CACHED_PIECES = 400_000  # of a worker's memory of encoded pieces; it starts anew beyond
 
 # Selectors of Simple-8b: ids a word, bits an id (fixed values of the published code).
@@ -63,7 +64,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     # Bits of each id, block by block; what follows the end of a block needs none.
     bits = np.zeros((blocks, BLOCK_IDS + _NEAR[-1] + 1), np.uint8)
     flat = np.zeros(blocks * BLOCK_IDS, np.uint8)
-    flat[: len(ids)] = np.searchsorted(_LIMITS, ids, "right")
+    flat[: len(ids)] = np.frexp(ids.astype(np.float64))[1]
+    huge = np.flatnonzero(ids >= _U64(1 << 53))  # not exact as doubles
+    flat[huge] = np.searchsorted(_LIMITS, ids[huge], "right")
     bits[:, :BLOCK_IDS] = flat.reshape(blocks, BLOCK_IDS)
     stride, bits = bits.shape[1] if blocks else 0, bits.reshape(-1)
     steps: list[tuple[np.ndarray, ...]] = []
@@ -188,6 +191,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        names = self.tokenizer.get_vocab()
+        self.length = np.zeros(max(names.values()) + 1, np.int64)  # bytes of each token
+        for name, i in names.items():  # byte-level: one character for a byte
+            self.length[i] = len(name)
         self._forget()
 
     def _forget(self) -> None:
@@ -204,23 +211,43 @@ class Encoder:
         found[0] = "\0" + found[0]
         return found
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces, many to a text; tokens keep all bytes, so their lengths tell the pieces apart."""
+        plain = [p[1:] if p[:1] == "\0" else " " + p for p in new]
+        # A piece without a space before it cannot follow another one in a text.
+        order = sorted(range(len(new)), key=lambda i: new[i][:1] == "\0")
+        joined = [i for i in order if new[i][:1] != "\0"]
+        groups = [joined[k : k + _JOINED] for k in range(0, len(joined), _JOINED)]
+        groups += [[i] for i in order[len(joined) :]]
+        texts = ["".join(plain[i] for i in group) for group in groups]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        begin, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        known, at = [self.known], len(self.known)
+        for group, encoded in zip(groups, found):
+            ids = np.array(encoded.ids, np.uint32)
+            ends = np.cumsum([len(plain[i].encode()) for i in group])
+            reached = np.cumsum(self.length[ids])
+            last = np.searchsorted(reached, ends, "right")
+            if ends[-1] and (reached[last - 1] != ends).any():
+                raise ValueError("tokens do not end where pieces do")
+            begin[group], size[group] = at + np.concatenate(([0], last[:-1])), np.diff(last, prepend=0)
+            known.append(ids)
+            at += len(ids)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.begin, self.size = np.append(self.begin, begin), np.append(self.size, size)
+        self.known = np.concatenate(known)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the number of each text's."""
         if len(self.number) > CACHED_PIECES:
             self._forget()
         split = [self.pieces(t) for t in texts]
         flat = list(chain.from_iterable(split))
-        new = list(set(flat).difference(self.number))
-        if new:
-            plain = [p[1:] if p[:1] == "\0" else " " + p for p in new]
-            found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-            ids = [e.ids for e in found]
-            size = np.array([len(i) for i in ids], np.int64)
-            first = len(self.known) + np.cumsum(size) - size
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            self.begin, self.size = np.append(self.begin, first), np.append(self.size, size)
-            self.known = np.append(self.known, np.array([i for x in ids for i in x], np.uint32))
-        number = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        number = list(map(self.number.get, flat))
+        if None in number:
+            self._learn(list({p for p, n in zip(flat, number) if n is None}))
+            number = list(map(self.number.__getitem__, flat))
+        number = np.array(number, np.int64)
         size = self.size[number]
         after = np.cumsum(size)
         jump = np.repeat(self.begin[number] - (after - size), size)

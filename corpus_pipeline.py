@@ -5,12 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from holdfast.llm import decontam, neardup, packing, quality, substrings
 from holdfast.llm.store import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose predicted quality label is 1."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit_quality(docs, labels)
+    return quality.score_quality(docs, model).filter("predicted = 1").select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates."""
+    return neardup.keep_one(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of repeated windows, ``n_chars`` brought up to date.
+
+    A text that loses no word stays as it is, white space included.
+    """
+    changed = substrings.remove_repeats(docs, leave=True)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        changed = changed.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return changed.select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' places in batches of their length buckets."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("near-duplicates", one_of_each),
+    ("substrings", without_repeats),
+    ("decontamination", without_benchmark),
+    ("packing", batches),
+]
 
 ORACLE_SQL = None  # the classifier is a trained model; tests compare with a brute-force version
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from holdfast.llm import decontam, langid, neardup, packing, quality, substrings, tokens, urls, warc
+from holdfast.llm import ann, decontam, langid, neardup, packing, quality, substrings, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,12 @@ def op8_length_buckets(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack(_table(spark, directory, "documents"))
 
 
+def op9_multi_index_hashing(spark: SparkSession, directory: str) -> DataFrame:
+    """The 20 nearest other vectors of every twentieth vector."""
+    vectors = _table(spark, directory, "embeddings")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     """Every benchmark item found in a document."""
     return decontam.find_items(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))

@@ -125,11 +125,11 @@ def _repeated(hashes: DataFrame) -> DataFrame:
     return hashes.withColumn("n", count).filter("n > 1").select("hash", "chunk")
 
 
-def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None, leave: bool = False) -> DataFrame:
     """Remove every word of ``text`` that a repeated window covers.
 
     Returns the columns ``keep`` (all by default) with ``text`` replaced by the words that
-    stay, joined by one space, and adds ``n_words`` and ``n_removed`` (columns of these names
+    stay, joined by one space (with ``leave``, a text that loses nothing is left as it is), and adds ``n_words`` and ``n_removed`` (columns of these names
     are replaced). A window is repeated if its words also begin at another position of
     the same or another row; all are judged on the input. A null or empty text has no
     words and becomes empty. Repeated rows are rows of their own, so long ones repeat
@@ -165,11 +165,13 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFr
             n_removed.append(np.diff(removed[part.first]))
             raw = data.tobytes()
             for i in range(high - low):
-                found = raw[offsets[i] : offsets[i + 1]].split()
+                text = raw[offsets[i] : offsets[i + 1]]
                 if n_removed[-1][i]:
                     stays = ~gone[part.first[i] : part.first[i + 1]]
-                    found = [w for w, s in zip(found, stays.tolist()) if s]
-                texts.append(b" ".join(found).decode())
+                    text = b" ".join(w for w, s in zip(text.split(), stays.tolist()) if s)
+                elif not leave:
+                    text = b" ".join(text.split())
+                texts.append(text.decode())
         new = [pa.array(texts, pa.string()), *(pa.array(np.concatenate(x), pa.int64()) for x in (n_words, n_removed))]
         columns = [rows[f.name] for f in schema.fields[:-3]]
         return pa.table([*columns, *new], names=schema.names)

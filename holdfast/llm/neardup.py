@@ -14,8 +14,9 @@ register of another one, in an order that is the same for all documents.
    forest of the estimates is kept: as many pairs as members.
 4. These pairs are verified on full sets; the verified ones give components.
 5. Where a group still has members of several components, all pairs across components
-   that the estimate does not rule out are verified as well, block against block. So no
-   link is lost to the forest, and a group of copies never lists its pairs.
+   that the estimate does not rule out are verified as well, block against block, as
+   products of 0/1 matrices; each task returns a forest of the links it found. So no link
+   between components is lost, and no group ever lists its pairs.
 6. A document's component is the smallest id in it.
 
 Chances of a miss: two sets with similarity 0.85 agree in one of 32 bands with a
@@ -40,7 +41,8 @@ from holdfast.operators.joins import lookup
 
 SHINGLE = 5
 REGISTERS, MANTISSA, PER_BAND = 128, 10, 4
-BLOCK = 256  # members of a group that are compared in one piece
+BLOCK = 128  # members of a group that are compared in one piece
+_COLUMNS = 4_096  # hashes in one matrix product
 
 _U64 = np.uint64
 _BUCKET_BITS = REGISTERS.bit_length() - 1
@@ -135,19 +137,67 @@ def _forest(groups: pa.Table, percent: int) -> pa.Table:
     return _pairs(pairs)
 
 
-def _across(groups: pa.Table, percent: int) -> pa.Table:
-    """The possible pairs of two blocks whose members are in different components."""
+def _wanted(groups: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members of two blocks (or one), and which pairs across components are possible."""
     side = groups["side"].to_numpy()
     sketch = np.frombuffer(b"".join(groups["sketch"].to_pylist()), "<u2").reshape(-1, REGISTERS)
+    n, label = groups["n"].to_numpy(), groups["label"].to_numpy()
+    left = np.flatnonzero(side == 0)
+    right = left if groups["low"][0] == groups["high"][0] else np.flatnonzero(side == 1)
+    possible = _possible(jaccard_estimates(sketch[left], sketch[right]), n[left], n[right], percent)
+    return left, right, possible & (label[left][:, None] != label[right])
+
+
+def _open_members(groups: pa.Table, percent: int) -> pa.Table:
+    """The members that are in a possible pair across components."""
+    left, right, wanted = _wanted(groups, percent)
+    stays = np.union1d(left[wanted.any(axis=1)], right[wanted.any(axis=0)])
+    return groups.take(pa.array(stays))
+
+
+def _across(groups: pa.Table, percent: int) -> pa.Table:
+    """Links between different components in two blocks: a forest of them, on full sets."""
+    left, right, wanted = _wanted(groups, percent)
     ids, n, label = (groups[c].to_numpy() for c in ("cid", "n", "label"))
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(right):
-        right = left
-    estimate = jaccard_estimates(sketch[left], sketch[right])
-    wanted = _possible(estimate, n[left], n[right], percent)
-    wanted &= (label[left][:, None] != label[right]) & (ids[left][:, None] < ids[right] if right is left else True)
-    rows = np.argwhere(wanted)
-    return _pairs(list(zip(ids[left[rows[:, 0]]].tolist(), ids[right[rows[:, 1]]].tolist())))
+    sets = list(shingle_sets(*utf8(groups["text"].combine_chunks())))
+    shared = _shared(sets, left, right)
+    wanted &= 100 * shared >= percent * (n[left][:, None] + n[right] - shared)
+    joined: dict[int, int] = {}
+
+    def head(x: int) -> int:
+        while joined.get(x, x) != x:
+            x = joined[x]
+        return x
+
+    pairs = []
+    for i, j in np.argwhere(wanted):
+        i, j = left[i], right[j]
+        one, other = head(int(label[i])), head(int(label[j]))
+        if one != other:
+            joined[max(one, other)] = min(one, other)
+            pairs.append((int(ids[i]), int(ids[j])))
+    return _pairs(pairs)
+
+
+def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right.
+
+    Products of 0/1 matrices over the hashes that occur in more than one set.
+    """
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    several = count[column] > 1
+    owner, column = owner[several], place[column[several]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(left), len(right)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        some = slice(*np.searchsorted(column, (low, low + _COLUMNS)))
+        held = np.zeros((len(sets), _COLUMNS), np.float32)
+        held[owner[some], column[some] - low] = 1
+        total += held[left] @ held[right].T
+    return np.rint(total).astype(np.int64)
 
 
 def _pairs(pairs: list[tuple[int, int]]) -> pa.Table:
@@ -253,8 +303,11 @@ def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         F.greatest("block", "other").alias("high"),
         (F.col("block") > F.col("other")).cast("int").alias("side"),
     )
-    across = paired.groupBy("hub", "low", "high").applyInArrow(lambda t: _across(t, percent), kinds)
-    return links.unionByName(_verified(across, texts, percent))
+    block_pair = ["hub", "low", "high"]
+    open_ = paired.groupBy(*block_pair).applyInArrow(lambda t: _open_members(t, percent), paired.schema)
+    with_text = lookup(stored(open_, "open-members"), texts.withColumnRenamed("rid", "cid"), ["cid"])
+    across = with_text.groupBy(*block_pair).applyInArrow(lambda t: _across(t, percent), kinds)
+    return links.unionByName(stored(across, "links-across"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -278,7 +278,8 @@ def _groups(sketches: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     involved = members.select(F.col("cid").alias("rid")).distinct()
-    texts = stored(numbered.select("rid", "text").join(involved, "rid"), "group-texts")
+    # By sorting at every size: whether the ids fit a broadcast should not change the plan.
+    texts = stored(numbered.select("rid", "text").join(involved.hint("merge"), "rid"), "group-texts")
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
     sized = lookup(members, sizes, ["hub"])
     blocks = F.ceil(F.col("size") / BLOCK)

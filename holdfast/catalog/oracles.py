@@ -6,6 +6,7 @@ The input views come first as common table expressions; FIXTURES.md explains the
 from __future__ import annotations
 
 from holdfast.functions import wording
+from holdfast.functions.payloads import POSTER_BASE, POSTER_PLACEHOLDER
 from holdfast.sources.standins import PLAYBOOK_REST
 
 VIEWS = {
@@ -197,8 +198,8 @@ VIEWS["sent"] = """
     select event_date, user_id, 'email', email_title, user_email from delivery
     where user_email is not null"""
 
-_POSTER = f"""coalesce('{wording.POSTER_BASE}' || p.poster_path,
-    '{wording.POSTER_PLACEHOLDER}' || replace(x.title, ' ', '+'))"""
+_POSTER = f"""coalesce('{POSTER_BASE}' || p.poster_path,
+    '{POSTER_PLACEHOLDER}' || replace(x.title, ' ', '+'))"""
 
 _COPY = {
     "push_title": "case when kind in (0, 1, 2) then title when kind = 3 then '' end",
@@ -228,7 +229,7 @@ BODIES = {
     "trailing_events": """select * from watch_events
         where event_date > date '2024-01-30' - 14 and event_date <= date '2024-01-30'""",
     "semi_join_users": """select * from watch_events
-        where user_id in (select user_id from critical order by priority_rank, user_id limit 200)""",
+        where user_id in (select user_id from critical)""",
     "active_users": """select user_id, event_date, churn_risk_level from snapshot
         where event_date = date '2024-01-30' and is_active = 1""",
     "active_count": """select event_date, count(*) as n from snapshot where is_active = 1
@@ -304,9 +305,9 @@ BODIES = {
               from scored_labels)
         group by p, n""",
     # Campaign
-    "critical_targets": "select * from critical order by priority_rank, user_id limit 200",
+    "critical_targets": "select * from critical order by priority_rank, user_id limit 5",
     "target_facts": "select * from facts",
-    "campaign_brief": "select * from briefs order by priority_rank, user_id limit 200",
+    "campaign_brief": "select * from briefs",
     "suppressed_targets": "select * from skips",
     "guided_targets": f"select user_id, event_date, strategy_code, {', '.join(_GUIDED)} from guided",
     "user_situation": "select * from situations",

@@ -22,7 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = LAST_SNAPSHOT
 RUN_TS = datetime(2024, 1, 31, 6, 0, tzinfo=timezone.utc)
-QUICK = training.TrainParams(rounds=(5, 10))
+TRAINING = training.TrainParams()
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 _QUERIES: dict[str, Query] = {}
 
@@ -90,9 +91,8 @@ def _messages(inputs: Inputs) -> DataFrame:
         inputs.watch_events,
         inputs.content_master,
         DAY,
-        limit=None,
     )
-    return build_messages(brief, sample_generator(), RUN_TS, parallelism=None)
+    return build_messages(brief, sample_generator(), RUN_TS)
 
 
 def _delivery(inputs: Inputs) -> DataFrame:
@@ -145,7 +145,7 @@ def trailing_events(inputs: Inputs) -> DataFrame:
 @_registered
 def semi_join_users(inputs: Inputs) -> DataFrame:
     targets = filters.critical_targets(inputs.campaign_targets, DAY)
-    return filters.for_users(inputs.watch_events, targets, at_most=200)
+    return filters.for_users(inputs.watch_events, targets)
 
 
 @_registered
@@ -235,7 +235,7 @@ def risk_encoding(inputs: Inputs) -> DataFrame:
 
 @_registered
 def segment_onehot(inputs: Inputs) -> DataFrame:
-    flags = scores.segment_onehot(inputs.snapshot.select("user_id", "event_date", "segment"))
+    flags = scores.segment_onehot(inputs.snapshot.select("user_id", "event_date", "segment"), SEGMENTS)
     names = [name for name in flags.columns if name.startswith("seg_")]
     return flags.unpivot(["user_id", "event_date"], names, "flag", "is_set")
 
@@ -335,14 +335,14 @@ def auc_roc(inputs: Inputs) -> DataFrame:
 @_registered
 def model_metrics(inputs: Inputs) -> DataFrame:
     rows = training.training_rows(inputs.snapshot, activity_history(inputs.daily_watch_time))
-    metrics = training.train(rows, QUICK).metrics
+    metrics = training.train(rows, TRAINING).metrics
     return inputs.spark.createDataFrame(list(metrics.items()), "metric string, value double")
 
 
 @_registered
 def daily_scores(inputs: Inputs) -> DataFrame:
     rows = training.training_rows(inputs.snapshot, activity_history(inputs.daily_watch_time))
-    return scoring.score_day(inputs.snapshot, training.fit(rows, 10, QUICK), as_of=AS_OF)
+    return scoring.score_day(inputs.snapshot, training.fit(rows, max(TRAINING.rounds), TRAINING), as_of=AS_OF)
 
 
 # Campaign
@@ -350,7 +350,8 @@ def daily_scores(inputs: Inputs) -> DataFrame:
 
 @_registered
 def critical_targets(inputs: Inputs) -> DataFrame:
-    return filters.critical_targets(inputs.campaign_targets, DAY)
+    """A campaign of five, fewer than there are candidates."""
+    return filters.critical_targets(inputs.campaign_targets, DAY, limit=5)
 
 
 @_registered
@@ -519,7 +520,7 @@ def outbox_mails(inputs: Inputs) -> DataFrame:
         F.get_json_object("payload", "$.content.subject").alias("subject"),
         F.get_json_object("payload", "$.recipients.to[0].address").alias("address"),
         F.regexp_count(page, F.lit("<img ")).alias("images"),
-        F.regexp_count(page, F.lit("<td width")).alias("cells"),
+        F.regexp_count(page, F.lit('<div class="tile"')).alias("cells"),
     )
 
 

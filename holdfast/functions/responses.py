@@ -13,6 +13,7 @@ COPY_SCHEMA = (
     "push_title string, push_body string, email_title string, email_intro string, "
     "rec_list array<struct<title: string, description: string>>"
 )
+_RAW_SCHEMA = COPY_SCHEMA.replace("array<struct<title: string, description: string>>", "array<variant>")
 COPY_FIELDS = ["push_title", "push_body", "email_title", "email_intro", "rec_list"]
 
 # White space as Python's str.strip sees it.
@@ -87,13 +88,17 @@ def extract_playbook(raw: Column) -> Column:
 
 
 def _rewritten(block: Column) -> Column:
+    """The object's keys in the order they first come in, each with its last value."""
     pairs = F.map_entries(F.from_json(block, "map<string, variant>"))
-    return _object_text(
-        F.transform(
-            pairs,
-            lambda pair: F.concat(_quoted(pair["key"]), F.lit(": "), F.to_json(pair["value"])),
-        )
-    )
+    return let(pairs, _last_values)
+
+
+def _last_values(pairs: Column) -> Column:
+    def text(key: Column) -> Column:
+        last = F.element_at(F.filter(pairs, lambda pair: pair["key"] == key), -1)
+        return F.concat(_quoted(key), F.lit(": "), F.to_json(last["value"]))
+
+    return _object_text(F.transform(F.array_distinct(F.transform(pairs, lambda pair: pair["key"])), text))
 
 
 def playbook_fallback() -> Column:
@@ -113,7 +118,20 @@ def playbook_fallback() -> Column:
 def parse_copy(raw: Column) -> Column:
     """The five copy fields of a response as a struct; all null if it is no object."""
     bare = strip(F.replace(F.replace(strip(raw), F.lit("```json")), F.lit("```")))
-    return F.from_json(let(bare, lambda text: F.when(_is_object(text), text)), COPY_SCHEMA)
+    read = F.from_json(let(bare, lambda text: F.when(_is_object(text), text)), _RAW_SCHEMA)
+    return let(read, lambda r: F.when(r.isNotNull(), _copy_of(r)))
+
+
+def _copy_of(read: Column) -> Column:
+    """Elements of the list that are no objects with a title or description are left out."""
+    entries = F.transform(
+        read["rec_list"],
+        lambda e: F.struct(
+            *(F.try_variant_get(e, f"$.{name}", "string").alias(name) for name in ("title", "description"))
+        ),
+    )
+    known = F.filter(entries, lambda e: e["title"].isNotNull() | e["description"].isNotNull())
+    return F.struct(*(read[name].alias(name) for name in COPY_FIELDS[:-1]), known.alias("rec_list"))
 
 
 def _is_object(text: Column) -> Column:

@@ -90,18 +90,16 @@ def align_features(df: DataFrame, expected: Sequence[str], keep: Sequence[str] =
 
 
 def segment_onehot(
-    df: DataFrame, column: str = "segment", prefix: str = "seg", at_most: int = 1000
+    df: DataFrame, values: Sequence[str], column: str = "segment", prefix: str = "seg"
 ) -> DataFrame:
-    """One 0/1 column per value in place of ``column``; null is 0 in all of them.
+    """One 0/1 column per given value in place of ``column``; null and others are 0 in all.
 
-    More than ``at_most`` values is an error, as for a pivot: each is a column.
+    The values are those the model was trained on, so the columns do not depend on
+    the data of the day.
     """
-    found = df.select(column).dropna().distinct().limit(at_most + 1).collect()
-    if len(found) > at_most:
-        raise ValueError(f"more than {at_most} values in {column}")
     flags = {
         f"{prefix}_{value}": F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
-        for value in sorted(row[0] for row in found)
+        for value in values
     }
     return df.withColumns(flags).drop(column) if flags else df.drop(column)
 

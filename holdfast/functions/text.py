@@ -36,6 +36,14 @@ def shown(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit("None"))
 
 
+def plain_number(value: Column) -> Column:
+    """A double as text without an exponent, between 1e-4 and 1e16 as prompts show it."""
+    size = F.abs(value)
+    exponent = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
+    digits = F.regexp_replace(value.cast("decimal(38, 16)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(exponent, digits).otherwise(value.cast("string"))
+
+
 def shown_list(values: Column) -> Column:
     """A list of texts in the bracketed, quoted form prompts show it in."""
     return F.coalesce(
@@ -65,7 +73,10 @@ def user_situation() -> Column:
         fill(wording.SITUATION_BAND, probability_band=shown(F.col("probability_band"))),
         fill(wording.SITUATION_SEGMENT),
         fill(wording.SITUATION_LAST_LOGIN),
-        fill(wording.SITUATION_WATCH_TIME),
+        fill(
+            wording.SITUATION_WATCH_TIME,
+            **{name: plain_number(F.col(name)) for name in ("watch_time_7d_min", "watch_time_30d_min")},
+        ),
     )
 
 

@@ -237,5 +237,3 @@ BLANK_RESPONSE = "DEFAULT_MESSAGE: 추천 콘텐츠를 확인해 보세요!"
 # Delivery.
 EMAIL_ACTION = "지금 시청하러 가기"
 CARD_ACTION = "지금 컨텐츠 보러 가기"
-POSTER_BASE = "https://image.tmdb.org/t/p/w500"
-POSTER_PLACEHOLDER = "https://dummyimage.com/400x600/141414/E50914&text="

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from holdfast.operators.joins import matching
 from holdfast.sources.tables import day_literal
 
-# A key list this long is a few megabytes at most, so it may be broadcast.
-BROADCAST_ROWS = 100_000
-
-
 def active_on(snapshot: DataFrame, day: date | str) -> DataFrame:
     """Users counted as active on one date."""
     return snapshot.filter((F.col("event_date") == day_literal(day)) & (F.col("is_active") == 1))
@@ -25,17 +21,9 @@ def trailing_days(df: DataFrame, day: date | str, days: int = 30) -> DataFrame:
     return df.filter((F.col("event_date") > F.date_sub(last, days)) & (F.col("event_date") <= last))
 
 
-def for_users(df: DataFrame, users: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Rows of the users in ``users``.
-
-    ``at_most`` is a proven upper bound on the number of users (a limit upstream).
-    Only with such a bound is the key list broadcast; otherwise it is made distinct
-    and Spark decides by measured size.
-    """
-    keys = users.select("user_id")
-    if at_most is not None and at_most <= BROADCAST_ROWS:
-        return df.join(F.broadcast(keys), "user_id", "left_semi")
-    return matching(df, keys.distinct(), ["user_id"])
+def for_users(df: DataFrame, users: DataFrame) -> DataFrame:
+    """Rows of the users in ``users``; Spark broadcasts the keys by measured size."""
+    return matching(df, users.select("user_id").distinct(), ["user_id"])
 
 
 def latest_date(df: DataFrame, as_of: date) -> DataFrame:
@@ -55,8 +43,8 @@ def pick_date(df: DataFrame, as_of: date | None = None, day: date | str | None =
     return latest_date(df, as_of).first()["event_date"] or as_of - timedelta(days=1)
 
 
-def critical_targets(targets: DataFrame, day: date | str, limit: int | None = 200) -> DataFrame:
-    """Critical users of one date, most urgent first; ``limit=None`` takes all.
+def critical_targets(targets: DataFrame, day: date | str, limit: int | None = None) -> DataFrame:
+    """Critical users of one date; with ``limit``, only that many, most urgent first.
 
     The limit is the campaign's size. Spark runs it as a per-partition top-n
     followed by a merge of those n rows.

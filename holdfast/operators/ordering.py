@@ -44,11 +44,11 @@ def row_at(df: DataFrame, keys: Sequence[str], position: int) -> Row | None:
 
 
 def exact_percentiles(
-    df: DataFrame, column: str, shares: Sequence[float], sort_below: int = 100_000
+    df: DataFrame, column: str, shares: Sequence[float]
 ) -> list[float | None]:
     """Percentiles with linear interpolation between the two nearest ranks.
 
-    Nulls and NaN are left out. From ``sort_below`` rows on, a sketch first gives a
+    Nulls and NaN are left out. A sketch first gives a
     narrow span of values around each rank; counts then say where the spans lie,
     and only the values inside are sorted. Only the values at the wanted ranks
     reach the driver.
@@ -61,9 +61,7 @@ def exact_percentiles(
         return [None for _ in shares]
     ranks = [(count - 1) * share for share in shares]
     wanted = sorted({step(rank) for rank in ranks for step in (floor, ceil)})
-    values = None
-    if count >= sort_below:
-        values = _values_in_spans(clean, list(zip(found[::2], found[1::2])), wanted)
+    values = _values_in_spans(clean, list(zip(found[::2], found[1::2])), wanted)
     if values is None:
         values = {at: row["value"] for at, row in _rows_at(clean, ["value"], wanted).items()}
     return [

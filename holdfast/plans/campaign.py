@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import wording
-from holdfast.operators.filters import BROADCAST_ROWS, critical_targets
+from holdfast.operators.filters import critical_targets
+from holdfast.operators.joins import lookup, matching
 from holdfast.plans.content import content_list
 from holdfast.session import materialise
 from holdfast.sources.tables import day_literal
@@ -24,17 +25,24 @@ TARGET_COLUMNS = [
 FACT_COLUMNS = ["segment", "days_since_last_login", "watch_time_7d_min", "watch_time_30d_min"]
 
 
-def with_facts(
-    targets: DataFrame, snapshot: DataFrame, at_most: int | None = None
-) -> DataFrame:
-    """Left join the snapshot facts of the same user and date."""
-    facts = snapshot.select("event_date", "user_id", *FACT_COLUMNS)
-    if at_most is not None and at_most <= BROADCAST_ROWS:
-        # A left join cannot broadcast its left side, so the few targets go to the
-        # snapshot scan as a semi join and only their rows are joined.
-        keys = F.broadcast(targets.select("event_date", "user_id"))
-        facts = facts.join(keys, ["event_date", "user_id"], "left_semi")
-    return targets.select(*TARGET_COLUMNS).join(facts, ["event_date", "user_id"], "left")
+def one_per_target(targets: DataFrame) -> DataFrame:
+    """One row per date and user: of repeated targets, the most urgent."""
+    rest = [c for c in TARGET_COLUMNS if c not in ("event_date", "user_id")]
+    first = F.min(F.struct("priority_rank", *(c for c in rest if c != "priority_rank"))).alias("t")
+    found = targets.groupBy("event_date", "user_id").agg(first)
+    return found.select("event_date", "user_id", *(F.col(f"t.{c}").alias(c) for c in rest))
+
+
+def with_facts(targets: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Left join the snapshot facts of the same user and date, one row per target row.
+
+    Repeated snapshot rows are reduced to one, only for the keys that are asked for.
+    """
+    keys = ["event_date", "user_id"]
+    wanted = matching(snapshot.select(*keys, *FACT_COLUMNS), targets.select(*keys).distinct(), keys)
+    facts = wanted.groupBy(*keys).agg(F.min(F.struct(*FACT_COLUMNS)).alias("f"))
+    facts = facts.select(*keys, *(F.col(f"f.{c}").alias(c) for c in FACT_COLUMNS))
+    return lookup(targets.select(*TARGET_COLUMNS), facts, keys).select(*TARGET_COLUMNS, *FACT_COLUMNS)
 
 
 def campaign_brief(
@@ -43,18 +51,20 @@ def campaign_brief(
     events: DataFrame,
     master: DataFrame,
     day: date | str,
-    limit: int | None = 200,
+    limit: int | None = None,
     k: int = 5,
 ) -> DataFrame:
     """Critical targets of one date with snapshot facts and their content list.
 
-    The picked targets are used three times, so they are written down once.
+    ``limit`` is the size of the campaign, for callers that have one. The picked
+    targets are used three times, so they are written down once.
     """
-    picked = materialise(critical_targets(targets, day, limit).select(*TARGET_COLUMNS))
+    critical = critical_targets(one_per_target(targets.select(*TARGET_COLUMNS)), day, limit)
+    picked = materialise(critical.select(*TARGET_COLUMNS))
     facts = snapshot.filter(F.col("event_date") == day_literal(day))
-    lists = content_list(events, master, day, picked.select("user_id"), k, at_most=limit)
+    lists = content_list(events, master, day, picked.select("user_id"), k)
     return (
-        with_facts(picked, facts, limit)
+        with_facts(picked, facts)
         .join(lists, "user_id", "left")
         .select(
             *TARGET_COLUMNS,

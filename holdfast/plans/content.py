@@ -46,7 +46,6 @@ def content_list(
     users: DataFrame | None = None,
     k: int = 5,
     days: int = 30,
-    at_most: int | None = None,
 ) -> DataFrame:
     """The ``k`` titles of the last ``days`` dates per user, as a bullet list.
 
@@ -58,7 +57,7 @@ def content_list(
         trailing_days(events, day, days).select("user_id", "show_id", "session_time")
     )
     if users is not None:
-        watch = for_users(watch, users, at_most)
+        watch = for_users(watch, users)
     titled = with_titles(top_shows(watch, k), master)
     ranked = F.array_sort(F.collect_list(F.struct("rn", "title")))
     return (

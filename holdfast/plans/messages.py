@@ -101,12 +101,12 @@ def build_messages(
     generate: Generate,
     run_ts: datetime | None = None,
     attempts: int = 2,
-    parallelism: int | None = 15,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """One message per target of the brief, in the message table's columns.
 
-    ``parallelism`` is the number of tasks that call the generator at a time; a
-    limited brief would otherwise arrive in a single one. Save the result before
+    ``parallelism`` sets the number of tasks that call the generator at a time; by
+    default there are as many as the brief has partitions. Save the result before
     using it more than once: reading it again asks again.
     """
     if parallelism:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.payloads import (
     BRAND,
+    POSTER_BASE,
+    POSTER_PLACEHOLDER,
     SENDER,
     SITE_URL,
     card_payload,
@@ -25,9 +27,8 @@ USER_COLUMNS = ["age", "gender", "plan", "churn_date", "user_email"]
 def delivery_list(messages: DataFrame, users: DataFrame, day: date | str) -> DataFrame:
     """Messages of one date that may go out, with the user's attributes.
 
-    ``messages`` is the stored message table. The user table is made unique first,
-    with a partial result per task, so repeated users are harmless; Spark moves the
-    semi join below that when the messages are few enough to broadcast.
+    ``messages`` is the stored message table. The user table is reduced to users with a
+    message before it is made unique, by the same key.
     """
     to_send = messages.filter(
         (F.col("event_date") == day_literal(day))
@@ -35,9 +36,10 @@ def delivery_list(messages: DataFrame, users: DataFrame, day: date | str) -> Dat
         & ~F.col("skipped")
     )
     attributes = (
-        users.groupBy("user_id")
-        .agg(F.min(F.struct(*USER_COLUMNS)).alias("_user"))
+        users.select("user_id", *USER_COLUMNS)
         .join(to_send.select("user_id").distinct(), "user_id", "left_semi")
+        .groupBy("user_id")
+        .agg(F.min(F.struct(*USER_COLUMNS)).alias("_user"))
         .select("user_id", "_user.*")
     )
     return lookup(to_send, attributes, ["user_id"]).select(*messages.columns, *USER_COLUMNS)
@@ -54,33 +56,53 @@ def poster_paths(posters: DataFrame) -> DataFrame:
     )
 
 
-def with_posters(titled: DataFrame, posters: DataFrame) -> DataFrame:
+def with_posters(
+    titled: DataFrame,
+    posters: DataFrame,
+    base: str = POSTER_BASE,
+    placeholder: str = POSTER_PLACEHOLDER,
+) -> DataFrame:
     """Add ``poster`` to rows with a ``title``."""
     return (
         lookup(titled, poster_paths(posters), ["title"])
-        .withColumn("poster", poster_url(F.col("poster_path"), F.col("title")))
+        .withColumn("poster", poster_url(F.col("poster_path"), F.col("title"), base, placeholder))
         .select(*titled.columns, "poster")
     )
 
 
-def with_items(delivery: DataFrame, posters: DataFrame) -> DataFrame:
+def with_items(
+    delivery: DataFrame,
+    posters: DataFrame,
+    base: str = POSTER_BASE,
+    placeholder: str = POSTER_PLACEHOLDER,
+) -> DataFrame:
     """Add ``items``: the recommendations with their posters, in order.
 
-    Distinct lists are resolved once and joined back, so neither the messages nor
-    their texts are multiplied, and a list that many messages share costs one.
+    Only titles and their places are shuffled, never the texts: posters are found for
+    distinct titles and come back to a message by date, user and hash of its titles.
     """
-    lists = delivery.select("rec_list").filter(F.size("rec_list") > 0).distinct()
-    entries = lists.select("rec_list", F.posexplode("rec_list").alias("pos", "rec")).select(
-        "rec_list", "pos", F.col("rec.title"), F.col("rec.description")
+    key = ["event_date", "user_id", "_titles"]
+    keyed = delivery.withColumn("_titles", F.xxhash64("rec_list.title"))
+    entries = keyed.select(*key, F.posexplode("rec_list.title").alias("pos", "title")).distinct()
+    found = with_posters(entries.select("title").distinct(), posters, base, placeholder)
+    by_list = (
+        lookup(entries, found.filter("title is not null"), ["title"])
+        .groupBy(*key)
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "poster"))).alias("_posters"))
     )
-    resolved = (
-        with_posters(entries, posters)
-        .groupBy("rec_list")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "title", "description", "poster"))).alias("items"))
+    blank = poster_url(F.lit(None).cast("string"), F.lit(None).cast("string"), base, placeholder)
+    items = F.transform(
+        "rec_list",
+        lambda rec, i: F.struct(
+            i.alias("pos"),
+            rec["title"].alias("title"),
+            rec["description"].alias("description"),
+            F.coalesce(F.get(F.col("_posters.poster"), i), blank).alias("poster"),
+        ),
     )
     none = F.array().cast("array<struct<pos: int, title: string, description: string, poster: string>>")
-    found = lookup(delivery, resolved, ["rec_list"])
-    return found.withColumn("items", F.coalesce("items", none))
+    joined = lookup(keyed, by_list, key).withColumn("items", F.coalesce(items, none))
+    return joined.select(*delivery.columns, "items")
 
 
 def outbox(
@@ -90,6 +112,8 @@ def outbox(
     url: str = SITE_URL,
     sender: str = SENDER,
     limit: int | None = None,
+    poster_base: str = POSTER_BASE,
+    poster_placeholder: str = POSTER_PLACEHOLDER,
 ) -> DataFrame:
     """One row per message and channel; no e-mail row without an address.
 
@@ -111,4 +135,5 @@ def outbox(
         card_payload(F.col("push_title"), F.col("push_body"), url).alias("payload"),
     )
     channels = F.when(F.col("user_email").isNull(), F.array(card)).otherwise(F.array(mail, card))
-    return with_items(delivery, posters).select("event_date", "user_id", F.inline(channels))
+    itemised = with_items(delivery, posters, poster_base, poster_placeholder)
+    return itemised.select("event_date", "user_id", F.inline(channels))

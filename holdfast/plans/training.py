@@ -25,16 +25,14 @@ from holdfast.operators.splits import split_for_training, time_split
 from holdfast.session import ensure_checkpoint_dir, materialise
 from holdfast.sources.registry import save_model
 
-# A pass over fewer rows than this is not worth another task.
-ROWS_PER_TASK = 50_000
-
-
 @dataclass(frozen=True)
 class TrainParams:
     """Settings of the boosted trees.
 
     ``rounds`` are the tree counts to choose from, by area under the
     precision-recall curve on a slice cut from the end of the training rows.
+    ``partitions`` is the number of tasks of a pass over the rows; it is part of the
+    model, as bins are sampled per partition, so it does not follow the cluster's size.
     """
 
     rounds: Sequence[int] = (20, 50, 100)
@@ -42,6 +40,7 @@ class TrainParams:
     step_size: float = 0.05
     weight_factor: float = 1.0
     seed: int = 42
+    partitions: int = 8
     train_share: float = 0.8
 
 
@@ -66,7 +65,7 @@ def fit(rows: DataFrame, rounds: int, params: TrainParams) -> PipelineModel:
     ensure_checkpoint_dir(rows.sparkSession)
     classes = class_weight(rows, factor=params.weight_factor).first()
     weight = classes["pos_weight"] or 1.0
-    weighted = _spread(rows, classes["negatives"] + classes["positives"]).withColumn(
+    weighted = _spread(rows, params.partitions).withColumn(
         "_weight", F.when(F.col("label") == 1, weight).otherwise(1.0)
     )
     trees = GBTClassifier(
@@ -83,13 +82,9 @@ def fit(rows: DataFrame, rounds: int, params: TrainParams) -> PipelineModel:
     return Pipeline(stages=[assembler, trees]).fit(weighted)
 
 
-def _spread(rows: DataFrame, count: int) -> DataFrame:
-    """Use all cores once there is work for them: fitting passes over the rows often."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    useful = min(cores, 1 + count // ROWS_PER_TASK)
-    if rows.rdd.getNumPartitions() >= useful:
-        return rows
-    return rows.repartition(useful, *rows.columns)
+def _spread(rows: DataFrame, partitions: int) -> DataFrame:
+    """Deal rows by their content, so the model does not depend on how they arrived."""
+    return rows.repartition(partitions, *rows.columns).sortWithinPartitions(*rows.columns)
 
 
 def choose_rounds(rows: DataFrame, params: TrainParams) -> int:

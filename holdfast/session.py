@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Of equal keys in a generated answer the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -40,7 +42,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="holdfast-checkpoint-")
     context.setCheckpointDir(configured)

@@ -5,13 +5,13 @@ from datetime import date
 
 import pytest
 
-from holdfast.catalog.queries import QUICK, sample_generator
+from holdfast.catalog.queries import sample_generator
 from holdfast.operators.filters import pick_date
 from holdfast.plans.campaign import campaign_brief
 from holdfast.plans.messages import build_messages
 from holdfast.plans.outbox import delivery_list, outbox
 from holdfast.plans.scoring import score_day, score_report
-from holdfast.plans.training import train_and_register
+from holdfast.plans.training import TrainParams, train_and_register
 from holdfast.sources.registry import load_latest, registry
 from holdfast.sources.standins import AS_OF, Inputs
 from holdfast.sources.tables import activity_history, read_date, read_table, replace_date
@@ -35,7 +35,7 @@ def test_daily_run(spark, lake):
         return read_table(spark, f"{lake}/{name}")
 
     snapshot, history = table("snapshot"), activity_history(table("daily_watch_time"))
-    assert train_and_register(snapshot, history, f"{lake}/models", QUICK) == 1
+    assert train_and_register(snapshot, history, f"{lake}/models", TrainParams(rounds=(5, 10))) == 1
     assert registry(spark, f"{lake}/models").first().metrics["auc_roc"] > 0.5
     model = load_latest(spark, f"{lake}/models")
 

@@ -69,9 +69,11 @@ def test_poster_choice(spark, posters):
     }
     titles = spark.createDataFrame([("a b",), ("x y z",), (None,)], "title string")
     found = {r.title: r.poster for r in with_posters(titles, posters).collect()}
-    assert found["a b"] == "https://image.tmdb.org/t/p/w500/m1.jpg"
-    assert found["x y z"].endswith("&text=x+y+z")
-    assert found[None].endswith("&text=")
+    assert found["a b"] == "https://example.com/posters/m1.jpg"
+    assert found["x y z"].endswith("title=x+y+z")
+    assert found[None].endswith("title=")
+    other = with_posters(titles, posters, base="https://p.example", placeholder="none/").collect()
+    assert {r.poster for r in other} == {"https://p.example/m1.jpg", "none/x+y+z", "none/"}
 
 
 def test_items_keep_order_and_repeats(spark, users, posters):
@@ -126,10 +128,9 @@ def test_page_has_one_large_item_and_rows_of_two(spark, count, rows):
     )
     page = df.select(html_body(F.lit("T"), F.lit("I"), F.col("items"))).first()[0]
     assert re.findall(r'<img src="(\w+)"', page) == [p for _, _, p in items]
-    grid = page.split('<table width="100%">')[1].split("</table>")[0] if count > 1 else ""
-    assert grid.count("<tr>") == grid.count("</tr>") == rows
-    assert grid.count("<td ") == max(count - 1, 0)
-    for tag in ("table", "tr", "td", "body"):
+    assert page.count("display:flex") == rows
+    assert page.count('class="tile"') == max(count - 1, 0)
+    for tag in ("div", "html", "body", "h1", "h2", "h3", "p", "a"):
         assert len(re.findall(rf"<{tag}[ >]", page)) == page.count(f"</{tag}>")
 
 
@@ -146,3 +147,20 @@ def test_small_texts(spark):
         "<p><em>a</em> &lt;b&gt;\nc</p>",
         "a\n\nb\n\n\n\nc",
     )
+
+
+def test_intro_marks(spark):
+    texts = {
+        "a * b * c": "<p>a * b * c</p>",
+        "- a\n- **b**": "<ul><li>a</li><li><strong>b</strong></li></ul>",
+        "Look:\n1. x\n2. y\n\nend": "<p>Look:</p>\n<ol><li>x</li><li>y</li></ol>\n<p>end</p>",
+        "# Title\ntext": "<h1>Title</h1>\n<p>text</p>",
+        "[x](https://e.example/?a=1&b)": '<p><a href="https://e.example/?a=1&amp;b">x</a></p>',
+        "[x](javascript:1)": "<p>[x](javascript:1)</p>",
+        "use `a*b`, __so__ and _em_ not a_b_c": "<p>use <code>a*b</code>, <strong>so</strong> and <em>em</em> not a_b_c</p>",
+        "one  \ntwo\\\nthree": "<p>one<br>\ntwo<br>\nthree</p>",
+        "": "",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    rows = df.select("n", intro_html(F.col("t")).alias("h")).orderBy("n").collect()
+    assert [r.h for r in rows] == list(texts.values())

@@ -50,13 +50,29 @@ def no_broadcast(conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
 
 
+def without_subqueries(text):
+    """The plan's lines but for those below a subquery, which are one-row aggregates."""
+    kept, inside = [], None
+    for line in text.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if inside is not None and depth > inside:
+            continue
+        inside = depth if "Subquery subquery" in line else None
+        kept.append(line)
+    return kept
+
+
+def test_lists_and_texts_are_not_shuffled_for_posters(spark, inputs, no_broadcast):
+    lines = plan(entry_points.queries()["outbox_posters"](spark, DATA)).splitlines()
+    assert not any("Exchange hashpartitioning(rec_list" in line for line in lines)
+
+
 @pytest.mark.parametrize("name", LAZY)
 def test_no_products_and_no_single_task_windows(spark, name, no_broadcast):
     text = plan(entry_points.queries()[name](spark, DATA))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
-    for line in text.splitlines():
-        assert not ("Exchange SinglePartition" in line and "Subquery" not in text)
+    assert not any("Exchange SinglePartition" in line for line in without_subqueries(text))
 
 
 def test_event_scan_reads_what_it_needs(inputs):
@@ -80,9 +96,7 @@ def test_watch_minutes_are_summed_before_the_user_join(inputs, no_broadcast):
 
 def test_few_users_filter_the_event_scan(inputs):
     users = inputs.campaign_targets.select("user_id").limit(5)
-    lines = plan(
-        content_list(inputs.watch_events, inputs.content_master, DAY, users, at_most=5)
-    ).splitlines()
+    lines = plan(content_list(inputs.watch_events, inputs.content_master, DAY, users)).splitlines()
     semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
     assert "BroadcastHashJoin" in lines[semi]
     assert any("partial_sum(session" in line for line in lines[:semi])
@@ -91,14 +105,12 @@ def test_few_users_filter_the_event_scan(inputs):
 def test_unbounded_keys_are_not_forced_to_broadcast(inputs, no_broadcast):
     targets = inputs.campaign_targets
     assert "BroadcastHashJoin" not in plan(for_users(inputs.watch_events, targets))
-    assert "BroadcastHashJoin" not in plan(for_users(inputs.watch_events, targets, at_most=10**9))
-    assert "BroadcastHashJoin" in plan(for_users(inputs.watch_events, targets, at_most=200))
     assert "BroadcastHashJoin" not in plan(with_facts(targets, inputs.snapshot))
 
 
 def test_target_limit_is_a_top_n(inputs):
-    assert "TakeOrderedAndProject(limit=200" in plan(critical_targets(inputs.campaign_targets, DAY))
-    assert "TakeOrdered" not in plan(critical_targets(inputs.campaign_targets, DAY, None))
+    assert "TakeOrderedAndProject(limit=5" in plan(critical_targets(inputs.campaign_targets, DAY, 5))
+    assert "TakeOrdered" not in plan(critical_targets(inputs.campaign_targets, DAY))
 
 
 @pytest.fixture
@@ -182,7 +194,10 @@ def test_hot_list_is_split_in_the_outbox(spark, skew_settings):
     )
     delivery = materialise(
         spark.range(0, 30_000, 1, 16).select(
-            F.sha2(F.col("id").cast("string"), 256).alias("user_email"), recs.alias("rec_list")
+            F.lit(DAY).alias("event_date"),
+            F.col("id").alias("user_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("user_email"),
+            recs.alias("rec_list"),
         )
     )
     posters = spark.createDataFrame([("same", "tv", "/s.jpg")], "title string, media_type string, poster_path string")

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from holdfast.catalog.oracles import oracle_queries
+from holdfast.catalog.queries import registered_queries
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -35,7 +37,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_only_model_queries_lack_sql():
-    missing = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    missing = set(registered_queries()) - set(oracle_queries())
     assert missing == {"model_metrics", "daily_scores"}
 
 

@@ -65,13 +65,25 @@ def test_playbook_is_refused(spark):
         json.dumps({k: v for k, v in GOOD.items() if k != "cta"}),
         COMPACT + " " + COMPACT,
         COMPACT + ", " + COMPACT,
-        COMPACT[:-1] + ',"hook":"again"}',
         COMPACT[:-1],
         COMPACT.replace('"', "'"),
     ]
     assert column(spark, raws, extract_playbook) == [None] * len(raws)
 
 
+def test_last_of_equal_keys_counts(spark):
+    again = COMPACT[:-1] + ',"hook":"again"}'
+    assert column(spark, [again], extract_playbook) == [json.dumps({**GOOD, "hook": "again"}, ensure_ascii=False)]
+    copy = column(spark, ['{"push_title":"a","push_title":"b"}'], parse_copy)[0]
+    assert copy["push_title"] == "b"
+
+
+def test_odd_list_elements_do_not_hide_good_ones(spark):
+    raw = '{"rec_list": [{"title": "x", "description": 5}, "z", null, {"other": 1}, {"title": "y"}]}'
+    found = column(spark, [raw], parse_copy)[0]["rec_list"]
+    assert [tuple(x) for x in found] == [("x", "5"), ("y", None)]
+
+
 def test_validity_needs_one_object(spark):
     def valid(raw):
         return playbook_valid(strict_json(raw))

@@ -254,7 +254,8 @@ BODIES = {
         from snapshot""",
     "segment_onehot": """select user_id, event_date, 'seg_' || v.segment as flag,
         cast(coalesce(s.segment = v.segment, false) as int) as is_set
-        from snapshot s, (select distinct segment from snapshot where segment is not null) v""",
+        from snapshot s, (select unnest(['AUTOMOBILE', 'BUILDING',
+        'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) as segment) v""",
     "feature_ratios": f"select user_id, event_date, {_RATIOS} from snapshot",
     "clean_features": """select user_id, event_date, coalesce(days_since_last_login, 0)
         as days_since_last_login, watch_time_7d_min, watch_time_30d_min from snapshot""",

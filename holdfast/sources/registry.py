@@ -11,19 +11,31 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 REGISTRY_SCHEMA = (
-    "version int, alias string, path string, metrics map<string,double>, "
+    "version int, path string, metrics map<string,double>, "
     "params map<string,string>, signature string, input_example string, saved_ts timestamp"
 )
+ALIAS_SCHEMA = "number int, alias string, version int, set_ts timestamp"
+LATEST = "latest"
+OUTPUTS = [{"name": "churn_probability", "type": "double"}]
 
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
     """One row per saved model; no rows when nothing has been saved."""
+    return _table(spark, f"{root}/registry", REGISTRY_SCHEMA)
+
+
+def aliases(spark: SparkSession, root: str) -> DataFrame:
+    """Every time an alias was set, in order of ``number``; the last one holds."""
+    return _table(spark, f"{root}/aliases", ALIAS_SCHEMA)
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/registry")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], REGISTRY_SCHEMA)
+        return spark.createDataFrame([], schema)
 
 
 def save_model(
@@ -35,8 +47,8 @@ def save_model(
 ) -> int:
     """Store ``model`` as the next version and point ``latest`` at it.
 
-    The model is written first: a registry row never names a missing model. The
-    alias follows the highest version, so adding a row moves it.
+    The model is written first, then its row, then the alias: neither names
+    anything that is missing.
     """
     spark = SparkSession.active()
     newest = registry(spark, root).agg(F.max("version")).first()[0]
@@ -45,27 +57,36 @@ def save_model(
     model.write().save(path)
     row = Row(
         version=version,
-        alias="latest",
         path=path,
         metrics={name: float(value) for name, value in metrics.items()},
         params={name: str(value) for name, value in (params or {}).items()},
-        signature=example.schema.json() if example is not None else None,
+        signature=_signature(example),
         input_example=_example_json(example),
         saved_ts=datetime.now(timezone.utc),
     )
     spark.createDataFrame([row], REGISTRY_SCHEMA).write.mode("append").parquet(f"{root}/registry")
+    set_alias(spark, root, LATEST, version)
     return version
 
 
-def load_model(spark: SparkSession, root: str, version: int | None = None) -> PipelineModel:
-    """Load one version, or the newest."""
-    known = registry(spark, root)
-    if version is not None:
-        known = known.filter(F.col("version") == version)
-    entry = known.orderBy(F.desc("version")).select("path").first()
-    if entry is None:
-        raise LookupError(f"no model {version or 'latest'} under {root}")
-    return PipelineModel.load(entry["path"])
+def set_alias(spark: SparkSession, root: str, alias: str, version: int) -> None:
+    """Point ``alias`` at a stored version, for example back at an earlier one."""
+    _path(spark, root, version)
+    last = aliases(spark, root).agg(F.max("number")).first()[0]
+    row = Row(number=(last or 0) + 1, alias=alias, version=version, set_ts=datetime.now(timezone.utc))
+    spark.createDataFrame([row], ALIAS_SCHEMA).write.mode("append").parquet(f"{root}/aliases")
+
+
+def load_model(
+    spark: SparkSession, root: str, version: int | None = None, alias: str = LATEST
+) -> PipelineModel:
+    """Load one version, or the one behind an alias."""
+    if version is None:
+        named = aliases(spark, root).filter(F.col("alias") == alias).orderBy(F.desc("number")).first()
+        if named is None:
+            raise LookupError(f"no model {alias} under {root}")
+        version = named["version"]
+    return PipelineModel.load(_path(spark, root, version))
 
 
 def load_latest(spark: SparkSession, root: str) -> PipelineModel:
@@ -73,6 +94,20 @@ def load_latest(spark: SparkSession, root: str) -> PipelineModel:
     return load_model(spark, root)
 
 
+def _path(spark: SparkSession, root: str, version: int) -> str:
+    entry = registry(spark, root).filter(F.col("version") == version).select("path").first()
+    if entry is None:
+        raise LookupError(f"no model {version} under {root}")
+    return entry["path"]
+
+
+def _signature(example: DataFrame | None) -> str | None:
+    if example is None:
+        return None
+    inputs = [{"name": name, "type": kind} for name, kind in example.dtypes]
+    return json.dumps({"inputs": inputs, "outputs": OUTPUTS})
+
+
 def _example_json(example: DataFrame | None) -> str | None:
     if example is None:
         return None

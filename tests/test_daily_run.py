@@ -70,7 +70,7 @@ def test_daily_run(spark, lake):
             assert payload["attachments"][0]["content"]["body"][0]["text"] == row.subject
         else:
             assert payload["content"]["html"].count("<img ") == 5
-            assert f"<h3>{first_title}</h3>" in payload["content"]["html"]
+            assert f">{first_title}</h2>" in payload["content"]["html"]
 
 
 def test_brief_scans_one_date(spark, lake):

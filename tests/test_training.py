@@ -1,3 +1,4 @@
+import json
 import math
 import random
 from datetime import date, timedelta
@@ -78,6 +79,33 @@ def test_registry_keeps_versions(spark, result, rows, tmp_path):
     both = [training.score(rows, m).select("churn_probability").collect() for m in (loaded, result.model)]
     assert both[0] == both[1]
     assert registry.load_model(spark, root, 1).uid == result.model.uid
+    assert json.loads(entries[-1].signature)["outputs"] == [{"name": "churn_probability", "type": "double"}]
+
+
+def test_alias_can_move_back(spark, result, tmp_path):
+    root = str(tmp_path / "models")
+    for _ in range(2):
+        registry.save_model(result.model, root, {})
+
+    def latest():
+        return registry.aliases(spark, root).orderBy("number").collect()[-1].version
+
+    assert latest() == 2
+    registry.set_alias(spark, root, "latest", 1)
+    assert latest() == 1 and registry.load_latest(spark, root).uid == result.model.uid
+    with pytest.raises(LookupError):
+        registry.set_alias(spark, root, "latest", 3)
+    with pytest.raises(LookupError):
+        registry.load_model(spark, root, alias="other")
+
+
+def test_scores_do_not_depend_on_the_layout(spark, rows):
+    found = []
+    for parts in (1, 4, 7):
+        model = training.fit(rows.repartition(parts), 3, PARAMS)
+        scored = training.score(rows, model).orderBy("user_id", "event_date").select("churn_probability")
+        found.append(scored.collect())
+    assert found[0] == found[1] == found[2]
 
 
 def test_scores_of_one_day(snapshot, result):

@@ -232,6 +232,8 @@ BODIES = {
         where user_id in (select user_id from critical)""",
     "active_users": """select user_id, event_date, churn_risk_level from snapshot
         where event_date = date '2024-01-30' and is_active = 1""",
+    "daily_scores": """select user_id, event_date, true as is_probability, true as band_fits
+        from snapshot where event_date = date '2024-01-30' and is_active = 1""",
     "active_count": """select event_date, count(*) as n from snapshot where is_active = 1
         group by event_date""",
     "latest_date": """select coalesce(max(event_date), date '2024-01-30') as event_date from snapshot

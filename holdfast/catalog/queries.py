@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -15,6 +16,7 @@ from holdfast.operators import aggregates, filters, labels, ordering, shows, spl
 from holdfast.plans import campaign, content, outbox, scoring, training
 from holdfast.plans.messages import Generate, build_messages
 from holdfast.session import ensure_checkpoint_dir, materialise
+from holdfast.sources.registry import load_latest, save_model
 from holdfast.sources.standins import AS_OF, LAST_SNAPSHOT, Inputs
 from holdfast.sources.tables import activity_history, read_date, replace_date
 
@@ -341,8 +343,21 @@ def model_metrics(inputs: Inputs) -> DataFrame:
 
 @_registered
 def daily_scores(inputs: Inputs) -> DataFrame:
+    """The daily path: train, store, load by alias, score, replace the date, read it back."""
+    root = f"{ensure_checkpoint_dir(inputs.spark)}/daily-{uuid.uuid4().hex}"
     rows = training.training_rows(inputs.snapshot, activity_history(inputs.daily_watch_time))
-    return scoring.score_day(inputs.snapshot, training.fit(rows, max(TRAINING.rounds), TRAINING), as_of=AS_OF)
+    model = training.fit(rows, max(TRAINING.rounds), TRAINING)
+    save_model(model, f"{root}/models", {}, TRAINING.__dict__, rows.select(*scores.FEATURES))
+    scored = scoring.score_day(inputs.snapshot, load_latest(inputs.spark, f"{root}/models"), as_of=AS_OF)
+    replace_date(scored, f"{root}/scores", DAY)
+    stored = read_date(inputs.spark, f"{root}/scores", DAY)
+    value = F.col("churn_probability")
+    return stored.select(
+        "user_id",
+        "event_date",
+        value.between(0, 1).alias("is_probability"),
+        (F.col("probability_band") == scores.probability_band(value)).alias("band_fits"),
+    )
 
 
 # Campaign

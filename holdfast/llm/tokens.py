@@ -287,8 +287,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
 
         def flush() -> pa.RecordBatch:
             nonlocal files, waiting
-            file = f"{root}/{part:06d}-{files:06d}-{uuid.uuid4().hex}.tokens"
-            with system.open_output_stream(file, compression=None) as stream:
+            file = f"{folder}/{part:06d}-{files:06d}-{uuid.uuid4().hex}.tokens"
+            with system.open_output_stream(open_folder(file)[1], compression=None) as stream:
                 write_file(stream, doc_ids, np.concatenate(lengths), np.concatenate(chunks))
             row = pa.record_batch([[part], [files], [file], [waiting]], names=["part", "seq", "file", "ids"])
             doc_ids.clear(), lengths.clear(), chunks.clear()
@@ -337,7 +337,8 @@ def read_tokens(files: DataFrame, ids: bool = False) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, first in zip(*(batch.column(c).to_pylist() for c in ("file", "start"))):
-                with open_folder(file)[0].open_input_stream(file, compression=None) as stream:
+                system, path = open_folder(file)
+                with system.open_input_stream(path, compression=None) as stream:
                     doc_ids, lengths, found = read_file(stream.read())
                 ends = np.cumsum(lengths)
                 data = memoryview(found.astype("<u4")).cast("B")

@@ -45,8 +45,9 @@ class _Writer:
     """Writes records into archives of bounded size."""
 
     def __init__(self, folder: str):
-        self.system, self.folder = open_folder(folder)
-        self.system.create_dir(self.folder, recursive=True)
+        self.folder = folder
+        system, path = open_folder(folder)
+        system.create_dir(path, recursive=True)
         self.stream, self.written, self.records, self.file = None, 0, 0, ""
 
     def add(self, fields: dict[str, str], block: bytes) -> tuple[str, int]:
@@ -55,7 +56,8 @@ class _Writer:
             self.close()
         if not self.stream:
             self.file = f"{self.folder}/{uuid.uuid4().hex}.warc.gz"
-            self.stream = self.system.open_output_stream(self.file, compression=None)
+            system, path = open_folder(self.file)
+            self.stream = system.open_output_stream(path, compression=None)
             self.written = self.records = 0
         fields = fields | {"Content-Length": str(len(block))}
         head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n"
@@ -93,8 +95,9 @@ def _fields(kind: str, record_id: str, page_id: int | None, url: str | None, dig
     return fields
 
 
-def _members(system, path: str) -> Iterator[tuple[int, bytes]]:
+def _members(file: str) -> Iterator[tuple[int, bytes]]:
     """Offset and content of every gzip member, one at a time."""
+    system, path = open_folder(file)
     with system.open_input_stream(path, compression=None) as stream:
         offset, used, unpacker, parts = 0, 0, zlib.decompressobj(31), []
         chunk = stream.read(1 << 20)
@@ -109,7 +112,7 @@ def _members(system, path: str) -> Iterator[tuple[int, bytes]]:
                 chunk = b""
             chunk = chunk or stream.read(1 << 20)
         if parts:
-            raise ValueError(f"{path} ends within a record")
+            raise ValueError(f"{file} ends within a record")
 
 
 def _parsed(member: bytes) -> tuple[dict[str, str], bytes]:
@@ -183,7 +186,7 @@ def rewrite_archives(resolved: DataFrame) -> DataFrame:
         writer, files = _Writer(folder), {}
         original = dict(zip(decisions["offset"].to_pylist(), decisions["original_id"].to_pylist()))
         source = decisions["file"][0].as_py()
-        for offset, member in _members(open_folder(folder)[0], source):
+        for offset, member in _members(source):
             fields, block = _parsed(member)
             digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
             page_id = fields.get("Holdfast-Page-ID")
@@ -218,7 +221,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
         for batch in batches:
             for file in batch.column("file").to_pylist():
                 rows, size = [], 0
-                for _, member in _members(open_folder(file)[0], file):
+                for _, member in _members(file):
                     rows.append(_record(*_parsed(member), payloads))
                     size += len(member) if payloads else 200
                     if size > 4 << 20:

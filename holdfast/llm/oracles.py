@@ -60,6 +60,65 @@ from items i join shingled d on d.kind = 0 and d.shingle = i.shingle
 group by d.id, i.id having 100 * count(*) >= 80 * any_value(n)
 """
 
+_ORACLES["op7_substring_dedup"] = r"""
+with split as (
+  select doc_id, string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') as w from documents),
+unnested as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from split),
+placed as (
+  select doc_id, word, count(*) over (partition by doc_id) as n,
+    row_number() over (partition by doc_id order by place) as i
+  from unnested where word <> ''),
+windows as (
+  select doc_id, word, i, case when i <= n - 34 then string_agg(word, ' ') over (
+    partition by doc_id order by i rows between current row and 34 following) end as run
+  from placed),
+starts as (
+  select doc_id, word, i, run is not null and count(*) over (partition by run) > 1 as repeated from windows),
+covered as (
+  select doc_id, word, i, max(repeated::int) over (
+    partition by doc_id order by i rows between 34 preceding and current row) as gone
+  from starts),
+kept as (
+  select doc_id, count(*) as n_words, sum(gone) as n_removed,
+    string_agg(word, ' ' order by i) filter (where gone = 0) as left_over
+  from covered group by doc_id)
+select doc_id, cast(coalesce(n_words, 0) as bigint) as n_words,
+  cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(left_over, '')) as kept_sha256
+from documents left join kept using (doc_id)
+"""
+
+_ORACLES["op6_hyperminhash"] = r"""
+with recursive split as (
+  select doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+') as w from documents),
+unnested as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from split),
+placed as (
+  select doc_id, word, count(*) over (partition by doc_id) as n,
+    row_number() over (partition by doc_id order by place) as i
+  from unnested where word <> ''),
+runs as (
+  select doc_id, n, i, string_agg(word, ' ') over (
+    partition by doc_id order by i rows between current row and 4 following) as shingle
+  from placed),
+shingles as (select distinct doc_id, shingle from runs where i <= greatest(n - 4, 1)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as k
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * k >= 85 * (p.n + q.n - k)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (
+  select x as doc_id, y as other from both_ways
+  union select r.doc_id, b.y from reach r join both_ways b on b.x = r.other),
+heads as (select doc_id, min(other) as least from reach group by doc_id)
+select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles,
+  least(d.doc_id, coalesce(least, d.doc_id)) as component_id,
+  d.doc_id <= coalesce(least, d.doc_id) as kept
+from documents d left join sizes using (doc_id) left join heads using (doc_id)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(_ORACLES)

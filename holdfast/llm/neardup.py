@@ -231,10 +231,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keep: Sequence[str] = ()
     fewer than five words is one shingle, a null text or one without words is linked
     with nothing. ``component_id`` is the smallest ``doc_id`` of the component (nulls
     last); ``kept`` marks one row of each component, the one with that id (of repeated ids,
-    the first). ``keep`` names further columns to return. ``docs`` should be a table
-    scan: rows are numbered by their place in it.
+    the first). ``keep`` names further columns to return. Rows are numbered once and
+    written with their numbers, since a scan that is run again may be split otherwise.
     """
-    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
+    columns = dict.fromkeys(["doc_id", "text", *keep])
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("rid"), *columns), "numbered")
     schema = StructType.fromDDL("rid bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, sketch binary")
     sent = numbered.select("rid", F.col("doc_id").cast("bigint"), "text")
     sketches = stored(sent.mapInArrow(_sketch, schema), "sketches")
@@ -313,7 +314,9 @@ def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, columns unchanged."""
-    names = list(docs.columns)
-    renamed = docs.select("doc_id", "text", F.struct(*names).alias("row"))
-    found = near_duplicates(renamed, percent, keep=["row"])
-    return found.filter("kept").select("row.*")
+    # Other columns travel in a struct, so none has the name of a new one, and the text is written once.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = [F.struct(*others).alias("row")] if others else []
+    renamed = docs.select("doc_id", "text", *row)
+    found = near_duplicates(renamed, percent, keep=renamed.columns).filter("kept")
+    return found.select(*(F.col("row")[c].alias(c) if c in others else c for c in docs.columns))

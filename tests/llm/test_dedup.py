@@ -59,6 +59,26 @@ def test_keep_one_keeps_columns_and_one_row(stored_docs, docs):
     assert neardup.keep_one(docs()).count() == 0
 
 
+def test_rows_keep_their_numbers_when_scans_are_split_anew(stored_docs, conf, monkeypatch):
+    r = random.Random(6)
+    texts = [" ".join(f"w{r.randrange(10_000)}" for _ in range(60)) for _ in range(60)]
+    texts += [t + " more" for t in texts[:30]]
+    table, splits = stored_docs(*texts), ["8k", "128m"]
+
+    def resplit(df, name):
+        out = stored(df, name)
+        splits.reverse()
+        conf(spark__sql__files__maxPartitionBytes=splits[0], spark__sql__files__openCostInBytes="0")
+        return out
+
+    stored = neardup.stored
+    monkeypatch.setattr(neardup, "stored", resplit)
+    kept = neardup.keep_one(table, 85)
+    for size in ("8k", "128m"):
+        conf(spark__sql__files__maxPartitionBytes=size)
+        assert sorted((x["doc_id"], x["text"]) for x in kept.select("*").collect()) == list(enumerate(texts[:60]))
+
+
 def test_estimates_are_close():
     r = np.random.default_rng(1)
     both = np.unique(r.integers(0, 1 << 63, 3_000).astype(np.uint64) * np.uint64(2))

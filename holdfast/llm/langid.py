@@ -106,9 +106,11 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counted = labelled.mapInArrow(_count, "lang string, bucket int, n bigint")
     cells = stored(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
-    languages = sorted(row[0] for row in cells.filter("bucket = -1").select("lang").limit(MAX_CELLS >> BITS).collect())
-    if len(languages) << BITS >= MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS >> BITS} languages do not fit the broadcast matrix")
+    most = MAX_CELLS // (1 << BITS)
+    # One more than fit, so that too many are noticed before any cell comes to the driver.
+    languages = sorted(row[0] for row in cells.filter("bucket = -1").select("lang").limit(most + 1).collect())
+    if len(languages) > most:
+        raise ValueError(f"more than {most} languages do not fit the broadcast matrix")
     table = cells.toArrow()
     at = np.searchsorted(languages, np.array(table["lang"].to_pylist(), dtype=object)) if languages else []
     bucket, n = (table[c].to_numpy() for c in ("bucket", "n"))

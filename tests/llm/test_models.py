@@ -38,6 +38,14 @@ def test_language_cases(spark, docs):
     assert langid.predict_languages(docs(), nothing).count() == 0
 
 
+def test_languages_beyond_the_bound_are_refused(docs):
+    most = langid.MAX_CELLS // (1 << langid.BITS)
+    named = docs(*["a b"] * (most + 1)).withColumn("lang", F.col("doc_id").cast("string"))
+    with pytest.raises(ValueError, match=f"more than {most} languages"):
+        langid.fit_languages(named)
+    assert len(langid.fit_languages(named.filter(F.col("doc_id") < most)).languages) == most
+
+
 def test_quality_accuracy_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     got = queries.op4_quality(spark, DATA).filter("held_out").join(labels, "doc_id").cache()

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from holdfast.llm import decontam, neardup, packing, quality, substrings
 from holdfast.llm.store import stored
 
@@ -43,8 +45,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' places in batches of their length buckets."""
-    return packing.pack(docs)
+    """The documents' places in batches of their length buckets, by tokens."""
+    return packing.pack_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.decontam import word_list
+from holdfast.llm.store import stored
+from holdfast.llm.tokens import token_counts
 
 EXACT, PER_DOUBLING = 4_096, 128
 BUCKETS, TOKEN_BUDGET, SHARD_ROWS = 16, 65_536, 20_000
@@ -123,3 +125,18 @@ def pack(
         F.floor(F.col("_at") / F.col("_room")).cast("bigint").alias("batch"),
         (F.col("_at") % F.col("_room")).cast("int").alias("slot"),
     )
+
+
+def pack_tokens(
+    docs: DataFrame,
+    tokenizer_path: str,
+    buckets: int = BUCKETS,
+    budget: int = TOKEN_BUDGET,
+    keep: Sequence[str] = ("doc_id",),
+) -> DataFrame:
+    """``pack`` by tokens: ``length`` is the number of ids of the whole text and its end id.
+
+    Texts are encoded once; ``keep`` and the counts are written, as packing reads them twice.
+    """
+    counts = stored(token_counts(docs, tokenizer_path, keep), "token-counts")
+    return pack(counts, F.col("n_tokens"), buckets, budget, [c for c in keep if c != "n_tokens"])

@@ -79,8 +79,8 @@ def op7_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_length_buckets(spark: SparkSession, directory: str) -> DataFrame:
-    """Every document's place in the batches of its length bucket."""
-    return packing.pack(_table(spark, directory, "documents"))
+    """Every document's place in the batches of its length bucket, by tokens."""
+    return packing.pack_tokens(_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op9_multi_index_hashing(spark: SparkSession, directory: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate, chain
 
 import numpy as np
@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.llm.columns import add_from_text
 from holdfast.llm.store import open_folder, stored, work_folder
 from holdfast.llm.textarrays import row_slices, utf8
 
@@ -326,6 +327,19 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     return files.join(F.broadcast(before), "part").select("file", start.alias("start"), "ids")
 
 
+def token_counts(docs: DataFrame, tokenizer_path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``n_tokens``, the number of ids of the whole text with its end id, of every row."""
+
+    def count(texts: pa.Array) -> list[pa.Array]:
+        encode, sizes = encoder(tokenizer_path).encode, np.zeros(len(texts), np.int64)
+        _, offsets = utf8(texts)
+        for low, high in row_slices(offsets):
+            sizes[low:high] = encode([t or "" for t in texts.slice(low, high - low).to_pylist()])[1] + 1
+        return [pa.array(sizes)]
+
+    return add_from_text(docs, {"n_tokens": "bigint"}, count, keep)
+
+
 def read_tokens(files: DataFrame, ids: bool = False) -> DataFrame:
     """Per document: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` and, if asked for, ``ids``."""
     kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]

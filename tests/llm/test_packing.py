@@ -1,10 +1,13 @@
 import itertools
 import random
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.llm.packing import cell, choose_bounds, pack
+import corpus_pipeline
+from holdfast.llm import queries, tokens
+from holdfast.llm.packing import TOKEN_BUDGET, cell, choose_bounds, pack
 
 
 def _padding(lengths, bounds):
@@ -42,6 +45,19 @@ def test_length_column_and_empty_table(docs):
     assert pack(docs()).count() == 0
 
 
+def test_registered_lengths_are_tokens(spark, docs, tmp_path):
+    texts = [None, "", "a b", "日本語" * 500, "https://example.org/" + "x1" * 2_000, "word " * 300] * 3
+    docs(*texts).write.parquet(f"{tmp_path}/documents.parquet")
+    encode = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json")).tokenizer.encode
+    expected = {i: len(encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (queries.op8_length_buckets(spark, str(tmp_path)), corpus_pipeline.batches(spark, table, str(tmp_path))):
+        rows = got.collect()
+        assert {x["doc_id"]: x["length"] for x in rows} == expected
+        for bucket in {x["bucket"] for x in rows}:
+            assert bucket * max(x["slot"] + 1 for x in rows if x["bucket"] == bucket) <= TOKEN_BUDGET
+
+
 def test_cells_are_few_and_narrow(spark):
     rows = spark.range(1, 3_000_000, 7).select(F.col("id").alias("_length"))
     cells = rows.groupBy(cell(F.col("_length")).alias("c")).agg(F.min("_length").alias("a"), F.max("_length").alias("b"))

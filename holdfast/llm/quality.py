@@ -84,7 +84,8 @@ def _bucket_counts(texts: pa.Array) -> list[pa.Array]:
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> QualityModel:
     """Learn from the texts of labelled rows; equal ids in ``labels`` are averaged.
 
-    Null labels, ids and texts are left out. Without any labelled row the model scores
+    Null labels, ids and texts are left out; of repeated ids in ``docs`` the text with the
+    smallest hash counts. Without any labelled row the model scores
     every text 0.5.
     """
     by_id = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
@@ -94,7 +95,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Q
         .limit(MAX_LABELLED)
     )
     # At most MAX_LABELLED short rows, so broadcasting them is safe.
-    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # One row of each id, so the bound holds for rows and a repeated id has one vote.
+    texts = rows.groupBy("doc_id", "_label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     kinds = {"buckets": "array<int>", "counts": "array<int>"}
     rows = add_from_text(texts, kinds, _bucket_counts, keep=["doc_id", "_label"]).toArrow()
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.llm import langid, queries
+from holdfast.llm import langid, quality, queries
 from holdfast.llm.quality import fit_quality, score_quality
 
 DATA = "/root/testdata/sf0.1"
@@ -64,3 +64,11 @@ def test_quality_cases(spark, docs):
     assert got[2]["score"] == got[3]["score"] and 0 <= got[2]["score"] <= 1
     assert score_quality(docs("a"), fit_quality(docs(), labels)).first()["score"] == 0.5
     assert score_quality(docs(), model).count() == 0
+
+
+def test_quality_learns_one_row_of_each_id(spark, docs, monkeypatch):
+    learned = []
+    monkeypatch.setattr(quality, "train", lambda bucket, count, label: learned.extend(label.tolist()))
+    table = docs(*[f"copy {i}" for i in range(50)], "other", "third", ids=[0] * 50 + [1, 2])
+    fit_quality(table, spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id bigint, quality int"))
+    assert learned == [1, 0, 1]

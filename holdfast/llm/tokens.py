@@ -14,11 +14,10 @@ each partition writes files of about ``FILE_IDS`` ids.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.columns import add_from_text
+from holdfast.llm.pretokens import pieces, whole_tokens
 from holdfast.llm.store import open_folder, stored, work_folder
 from holdfast.llm.textarrays import row_slices, utf8
 
@@ -34,8 +34,6 @@ MAGIC = b"HFTOKS8B"
 BLOCK_IDS, FILE_IDS = 1_024, 4_000_000
 END_ID = 2
 TASKS = 2_000
-_JOINED = 1_000  # new pieces encoded as one text
-CACHED_PIECES = 400_000  # of a worker's memory of encoded pieces; it starts anew beyond
 
 # Selectors of Simple-8b: ids a word, bits an id (fixed values of the published code).
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -176,97 +174,6 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if n else d for d, n in zip(doc_ids, null)], lengths, unpack(words, offsets, count)
 
 
-class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
-
-    The tokenizer splits a text before it merges, and it always splits at a space that
-    stands alone between two other characters, giving the space to what follows. A
-    text's ids are therefore those of the pieces between such spaces, in order, each but
-    the first with its space.
-    """
-
-    _cut = re.compile(r"(?<=\S) (?=\S)")
-    _uneven = re.compile(r"\s\s")
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        names = self.tokenizer.get_vocab()
-        self.length = np.zeros(max(names.values()) + 1, np.int64)  # bytes of each token
-        for name, i in names.items():  # byte-level: one character for a byte
-            self.length[i] = len(name)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.known = np.zeros(0, np.uint32)
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a text; a mark tells the first, which has no space before it."""
-        if self._uneven.search(text) or text[:1].isspace() or text[-1:].isspace():
-            found = self._cut.split(text)
-        else:
-            found = text.split(" ")
-        found[0] = "\0" + found[0]
-        return found
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode pieces, many to a text; tokens keep all bytes, so their lengths tell the pieces apart."""
-        plain = [p[1:] if p[:1] == "\0" else " " + p for p in new]
-        # A piece without a space before it cannot follow another one in a text.
-        order = sorted(range(len(new)), key=lambda i: new[i][:1] == "\0")
-        joined = [i for i in order if new[i][:1] != "\0"]
-        groups = [joined[k : k + _JOINED] for k in range(0, len(joined), _JOINED)]
-        groups += [[i] for i in order[len(joined) :]]
-        texts = ["".join(plain[i] for i in group) for group in groups]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        begin, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        known, at = [self.known], len(self.known)
-        for group, encoded in zip(groups, found):
-            ids = np.array(encoded.ids, np.uint32)
-            ends = np.cumsum([len(plain[i].encode()) for i in group])
-            reached = np.cumsum(self.length[ids])
-            last = np.searchsorted(reached, ends, "right")
-            if ends[-1] and (reached[last - 1] != ends).any():
-                raise ValueError("tokens do not end where pieces do")
-            begin[group], size[group] = at + np.concatenate(([0], last[:-1])), np.diff(last, prepend=0)
-            known.append(ids)
-            at += len(ids)
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.begin, self.size = np.append(self.begin, begin), np.append(self.size, size)
-        self.known = np.concatenate(known)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts and the number of each text's."""
-        if len(self.number) > CACHED_PIECES:
-            self._forget()
-        split = [self.pieces(t) for t in texts]
-        flat = list(chain.from_iterable(split))
-        number = list(map(self.number.get, flat))
-        if None in number:
-            self._learn(list({p for p, n in zip(flat, number) if n is None}))
-            number = list(map(self.number.__getitem__, flat))
-        number = np.array(number, np.int64)
-        size = self.size[number]
-        after = np.cumsum(size)
-        jump = np.repeat(self.begin[number] - (after - size), size)
-        ids = self.known[jump + np.arange(len(jump))]
-        ends = np.concatenate(([0], after))[np.cumsum([len(p) for p in split])] if split else []
-        return ids, np.diff(ends, prepend=0)
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """Encode ``text`` of every row, append ``end_id``, write files in order of ``doc_id``.
 
@@ -276,11 +183,12 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     """
     spark = docs.sparkSession
     folder = work_folder(spark, "tokens")
+    whole = spark.sparkContext.broadcast(whole_tokens(tokenizer_path))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = open_folder(folder)
         system.create_dir(root, recursive=True)
-        encode, part, files = encoder(tokenizer_path).encode, TaskContext.get().partitionId(), 0
+        encode, part, files = pieces(tokenizer_path, whole.value).ids, TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         lengths: list[np.ndarray] = []
         chunks: list[np.ndarray] = []
@@ -299,8 +207,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
         for batch in batches:
             _, offsets = utf8(batch.column("text"))
             for low, high in row_slices(offsets):
-                part_texts = batch.column("text").slice(low, high - low).to_pylist()
-                ids, sizes = encode([t or "" for t in part_texts])
+                ids, sizes = encode(batch.column("text").slice(low, high - low))
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 doc_ids += batch.column("doc_id").slice(low, high - low).to_pylist()
                 lengths.append(sizes + 1)
@@ -329,13 +236,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
 
 def token_counts(docs: DataFrame, tokenizer_path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``n_tokens``, the number of ids of the whole text with its end id, of every row."""
+    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(tokenizer_path))
 
     def count(texts: pa.Array) -> list[pa.Array]:
-        encode, sizes = encoder(tokenizer_path).encode, np.zeros(len(texts), np.int64)
-        _, offsets = utf8(texts)
-        for low, high in row_slices(offsets):
-            sizes[low:high] = encode([t or "" for t in texts.slice(low, high - low).to_pylist()])[1] + 1
-        return [pa.array(sizes)]
+        return [pa.array(pieces(tokenizer_path, whole.value).counts(texts) + 1)]
 
     return add_from_text(docs, {"n_tokens": "bigint"}, count, keep)
 

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import public_tokenizers
+from tokenizers import Tokenizer
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def test_length_column_and_empty_table(docs):
 def test_registered_lengths_are_tokens(spark, docs, tmp_path):
     texts = [None, "", "a b", "日本語" * 500, "https://example.org/" + "x1" * 2_000, "word " * 300] * 3
     docs(*texts).write.parquet(f"{tmp_path}/documents.parquet")
-    encode = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json")).tokenizer.encode
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
     expected = {i: len(encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
     table = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for got in (queries.op8_length_buckets(spark, str(tmp_path)), corpus_pipeline.batches(spark, table, str(tmp_path))):

@@ -1,12 +1,15 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from holdfast.llm import tokens
+from tokenizers import Tokenizer
+
+from holdfast.llm import pretokens, tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -29,9 +32,9 @@ def test_one_block_alone():
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab' \n\t\u00a0\u3000é日1.,<|>") | st.characters(codec="utf-8"), max_size=40), max_size=4))
 def test_pieces_give_the_ids_of_whole_texts(texts):
-    encoder = tokens.encoder(PATH)
-    ids, sizes = encoder.encode(texts)
-    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    found = pretokens.pieces(PATH, pretokens.whole_tokens(PATH))
+    ids, sizes = found.ids(pa.array(texts, pa.string()))
+    whole = [found.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert sizes.tolist() == [len(w) for w in whole] and ids.tolist() == sum(whole, [])
 
 
@@ -41,7 +44,7 @@ def test_files(spark, docs, monkeypatch, file_ids):
     texts = ["a b", None, "", "word " * 5_000, "same", "same", "<|endoftext|> x"]
     ids = [5, 3, None, 1, 8, 8, -2]
     got = tokens.read_tokens(tokens.write_tokens(docs(*texts, ids=ids), PATH), ids=True).orderBy("start").collect()
-    encode = tokens.encoder(PATH).tokenizer.encode
+    encode = Tokenizer.from_file(PATH).encode
     start = 0
     for row, (doc_id, text) in zip(got, sorted(zip(ids, texts), key=lambda x: (x[0] is not None, x[0] or 0))):
         expected = [*encode(text or "", add_special_tokens=False).ids, 2]

@@ -90,7 +90,8 @@ from documents left join kept using (doc_id)
 _ORACLES["op6_hyperminhash"] = r"""
 with recursive split as (
   select doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+') as w from documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+') as w from documents),
 unnested as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from split),
 placed as (
   select doc_id, word, count(*) over (partition by doc_id) as n,
@@ -120,5 +121,50 @@ from documents d left join sizes using (doc_id) left join heads using (doc_id)
 """
 
 
+_ORACLES["op12_importance_resampling"] = r"""
+with texts as (
+  select 0 as kind, doc_id as id, text from documents union all select 1, item_id, text from benchmark),
+listed as (
+  select kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts),
+runs as (
+  select kind, id, unnest(list_concat(w, list_concat(
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) as run
+  from listed),
+counted as (select kind, id, run, count(*) as n from runs group by all),
+steps as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1
+    then xor(3988292384, c >> 1) else c >> 1 end) order by i) as t from range(256) r(i)),
+hashed as (
+  select run, xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+    list_transform(range(octet_length(encode(run))), lambda i:
+      (instr('123456789ABCDEF', substr(hex(encode(run)), 2 * i + 1, 1)) * 16
+        + instr('123456789ABCDEF', substr(hex(encode(run)), 2 * i + 2, 1)))::bigint)),
+    lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8))) % 10000 as bucket
+  from (select distinct run from counted), steps),
+features as (select kind, id, bucket, sum(n) as n from counted join hashed using (run) group by all),
+totals as (
+  select coalesce(sum(n) filter (where kind = 0), 0) as s, coalesce(sum(n) filter (where kind = 1), 0) as t
+  from features),
+gains as (
+  select bucket, floor(1000 * ln((coalesce(sum(n) filter (where kind = 1), 0) + 1)::double
+    * (any_value(totals.s) + 10000)::double / ((coalesce(sum(n) filter (where kind = 0), 0) + 1)::double
+    * (any_value(totals.t) + 10000)::double)))::bigint as gain
+  from features, totals group by bucket),
+weights as (
+  select id, sum(n) as n, sum(n * gain) as weight from features join gains using (bucket) where kind = 0 group by id),
+scored as (
+  select l.id as doc_id, len(w) >= 20 as able, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+    coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || l.id), 1, 8))::bigint + 0.5::double)
+      / 4294967296)))::bigint as score
+  from listed l left join weights on weights.id = l.id where kind = 0),
+ranked as (select *, row_number() over (partition by able order by score desc, doc_id) as place from scored)
+select doc_id, n_features, weight, score,
+  case when able and place <= 5 * (select count(*) from scored where able) // 100 then place end as rank
+from ranked
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return dict(_ORACLES)

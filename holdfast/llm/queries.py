@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from holdfast.llm import ann, decontam, langid, neardup, packing, quality, substrings, tokencounts, tokens, urls, warc
+from holdfast.llm import ann, decontam, importance, langid, neardup, packing, quality, substrings, tokencounts, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +94,12 @@ def op10_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontam.find_items(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
 
 
+def op12_importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
+    """A twentieth of the documents, drawn towards the benchmark's distribution, with ranks."""
+    drawn = importance.resample(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_whole_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     """Bytes and tokens of every document."""
     path = public_tokenizers.path("byte_bpe_50k.json")

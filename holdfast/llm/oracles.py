@@ -121,6 +121,44 @@ from documents d left join sizes using (doc_id) left join heads using (doc_id)
 """
 
 
+_ORACLES["op11_source_divergence"] = r"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents),
+words as (select row, lang, source, unnest(w) as term from docs),
+kept as (select lang, term, count(*) as n from words group by all having count(distinct row) >= 10),
+sizes as (select lang, count(*) as v, sum(n)::hugeint as total from kept group by lang),
+groups as (select distinct lang, source from docs),
+counts as (select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all),
+totals as (select lang, source, sum(n)::hugeint as total from counts group by all),
+shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * s.v) as p,
+    1 + (1000000000::hugeint * (k.n + 2)) // (s.total + 2 * s.v) as q
+  from groups g join kept k using (lang) join sizes s using (lang)
+  left join totals t using (lang, source) left join counts c using (lang, source, term)),
+sums as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from shares a join shares b using (lang, term) where a.source <> b.source group by all),
+pairs as (
+  select lang, g.source, h.source as item, coalesce(value, 0)::bigint as value
+  from groups g join groups h using (lang) left join sums s
+    on s.lang = g.lang and s.source = g.source and s.item = h.source
+  where g.source <> h.source),
+terms as (
+  select lang, source, term as item, (((p - q) * (p - q)) // (p + q))::bigint as value
+  from shares where n > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value,
+    row_number() over (partition by lang, source order by value desc, encode(item)) as rank from pairs
+  union all
+  select lang, source, 'term', item, value,
+    row_number() over (partition by lang, source order by value desc, encode(item)) from terms)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 10
+"""
+
 _ORACLES["op12_importance_resampling"] = r"""
 with texts as (
   select 0 as kind, doc_id as id, text from documents union all select 1, item_id, text from benchmark),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from holdfast.llm import ann, decontam, importance, langid, neardup, packing, quality, substrings, tokencounts, tokens, urls, warc
+from holdfast.llm import ann, decontam, divergence, importance, langid, neardup, packing, quality, substrings, tokencounts, tokens, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +94,11 @@ def op10_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontam.find_items(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, directory: str) -> DataFrame:
+    """Every source's most distinct terms, and its distance from the other sources of its language."""
+    return divergence.audit_sources(_table(spark, directory, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
     """A twentieth of the documents, drawn towards the benchmark's distribution, with ranks."""
     drawn = importance.resample(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))

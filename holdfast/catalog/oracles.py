@@ -232,8 +232,13 @@ BODIES = {
         where user_id in (select user_id from critical)""",
     "active_users": """select user_id, event_date, churn_risk_level from snapshot
         where event_date = date '2024-01-30' and is_active = 1""",
-    "daily_scores": """select user_id, event_date, true as is_probability, true as band_fits
-        from snapshot where event_date = date '2024-01-30' and is_active = 1""",
+    "stored_model_scores": f"""select user_id, event_date, round(p, 6) as churn_probability, case when p < 0.44 then 'Low'
+        when p < 0.51 then 'Mid' when p < 0.55 then 'High' else 'Critical' end as probability_band
+        from (select user_id, event_date, 1 / (1 + exp(-(
+            case when coalesce(days_since_last_login, 0) <= 6.5 then -0.3
+              when active_days_7 / (active_days_30 / 4 + 1) <= 0.5 then 0.4 else 0.1 end
+            + case when {_RISK} <= 1 then -0.2 else 0.25 end))) as p
+          from snapshot where event_date = date '2024-01-30' and is_active = 1)""",
     "active_count": """select event_date, count(*) as n from snapshot where is_active = 1
         group by event_date""",
     "latest_date": """select coalesce(max(event_date), date '2024-01-30') as event_date from snapshot

@@ -8,10 +8,12 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions import responses, scores, text
+from holdfast.functions.forest import Forest
 from holdfast.operators import aggregates, filters, labels, ordering, shows, splits
 from holdfast.plans import campaign, content, outbox, scoring, training
 from holdfast.plans.messages import Generate, build_messages
@@ -344,20 +346,35 @@ def model_metrics(inputs: Inputs) -> DataFrame:
 @_registered
 def daily_scores(inputs: Inputs) -> DataFrame:
     """The daily path: train, store, load by alias, score, replace the date, read it back."""
-    root = f"{ensure_checkpoint_dir(inputs.spark)}/daily-{uuid.uuid4().hex}"
     rows = training.training_rows(inputs.snapshot, activity_history(inputs.daily_watch_time))
-    model = training.fit(rows, max(TRAINING.rounds), TRAINING)
-    save_model(model, f"{root}/models", {}, TRAINING.__dict__, rows.select(*scores.FEATURES))
+    model, _ = training.fit_and_stop(rows, TRAINING)
+    return _published(inputs, model, rows.select(*scores.FEATURES))
+
+
+def fixed_forest() -> Forest:
+    """Two trees by hand, whose scores SQL can state."""
+    idle, days, risk = (scores.FEATURES.index(c) for c in ("days_since_last_login", "active_days_ratio", "risk_level_encoded"))
+    return Forest(
+        tuple(scores.FEATURES),
+        np.array([[idle, -1, days, -1, -1, -1, -1], [risk, -1, -1, -1, -1, -1, -1]]),
+        np.array([[6.5, 0, 0.5, 0, 0, 0, 0], [1.0, 0, 0, 0, 0, 0, 0]]),
+        np.array([[0, -0.3, 0, 0, 0, 0.4, 0.1], [0, -0.2, 0.25, 0, 0, 0, 0]]),
+    )
+
+
+@_registered
+def stored_model_scores(inputs: Inputs) -> DataFrame:
+    """The daily path with a known model: stored, loaded by alias, walked, banded, published, read back."""
+    published = _published(inputs, fixed_forest(), None)
+    return published.withColumn("churn_probability", F.round("churn_probability", 6))
+
+
+def _published(inputs: Inputs, model: Forest, example: DataFrame | None) -> DataFrame:
+    root = f"{ensure_checkpoint_dir(inputs.spark)}/daily-{uuid.uuid4().hex}"
+    save_model(model, f"{root}/models", {}, TRAINING.__dict__, example)
     scored = scoring.score_day(inputs.snapshot, load_latest(inputs.spark, f"{root}/models"), as_of=AS_OF)
     replace_date(scored, f"{root}/scores", DAY)
-    stored = read_date(inputs.spark, f"{root}/scores", DAY)
-    value = F.col("churn_probability")
-    return stored.select(
-        "user_id",
-        "event_date",
-        value.between(0, 1).alias("is_probability"),
-        (F.col("probability_band") == scores.probability_band(value)).alias("band_fits"),
-    )
+    return read_date(inputs.spark, f"{root}/scores", DAY)
 
 
 # Campaign

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.functions.forest import Forest, score
 from holdfast.functions.scores import align_features, features, probability_band
 from holdfast.operators.aggregates import describe_scores, value_counts
 from holdfast.operators.checks import require_columns, require_rows
 from holdfast.operators.filters import active_on, pick_date
-from holdfast.plans.training import score
 
 REQUIRED = [
     "user_id",
@@ -28,12 +27,12 @@ REQUIRED = [
 ]
 
 
-def expected_features(model: PipelineModel) -> list[str]:
+def expected_features(model: Forest) -> list[str]:
     """The features a model was trained on, in order."""
-    return model.stages[0].getInputCols()
+    return list(model.inputs)
 
 
-def with_scores(active: DataFrame, model: PipelineModel) -> DataFrame:
+def with_scores(active: DataFrame, model: Forest) -> DataFrame:
     """Probability and band of each row; an unknown risk level fails the run."""
     ready = align_features(
         features(active, strict=True), expected_features(model), keep=["user_id", "event_date"]
@@ -48,7 +47,7 @@ def with_scores(active: DataFrame, model: PipelineModel) -> DataFrame:
 
 def score_day(
     snapshot: DataFrame,
-    model: PipelineModel,
+    model: Forest,
     day: date | str | None = None,
     as_of: date | None = None,
 ) -> DataFrame:

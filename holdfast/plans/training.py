@@ -2,51 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from holdfast.functions.forest import Forest, score
 from holdfast.functions.scores import FEATURES, features
-from holdfast.operators.aggregates import (
-    auc_pr,
-    auc_roc,
-    class_weight,
-    threshold_metrics,
-)
+from holdfast.operators.aggregates import auc_roc, threshold_metrics
 from holdfast.operators.checks import has_two_classes, require_two_classes
 from holdfast.operators.labels import label_churn
 from holdfast.operators.splits import split_for_training, time_split
-from holdfast.session import ensure_checkpoint_dir, materialise
+from holdfast.plans.boosting import BoostParams, fit
+from holdfast.session import materialise
 from holdfast.sources.registry import save_model
 
-@dataclass(frozen=True)
-class TrainParams:
-    """Settings of the boosted trees.
 
-    ``rounds`` are the tree counts to choose from, by area under the
-    precision-recall curve on a slice cut from the end of the training rows.
-    ``partitions`` is the number of tasks of a pass over the rows; it is part of the
-    model, as bins are sampled per partition, so it does not follow the cluster's size.
-    """
+@dataclass(frozen=True)
+class TrainParams(BoostParams):
+    """Settings of the boosted trees and of the slices they are fitted, stopped and tested on."""
 
-    rounds: Sequence[int] = (20, 50, 100)
-    max_depth: int = 5
-    step_size: float = 0.05
-    weight_factor: float = 1.0
-    seed: int = 42
-    partitions: int = 8
     train_share: float = 0.8
+    unstopped: int = 100
 
 
 @dataclass(frozen=True)
 class TrainResult:
-    model: PipelineModel
+    model: Forest
     metrics: dict[str, float]
     params: dict[str, object]
     example: DataFrame
@@ -60,68 +41,17 @@ def training_rows(
     return materialise(labelled.select("user_id", "event_date", *FEATURES, "label"))
 
 
-def fit(rows: DataFrame, rounds: int, params: TrainParams) -> PipelineModel:
-    """Fit the trees on ``rows``, positives weighted by the class ratio."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    classes = class_weight(rows, factor=params.weight_factor).first()
-    weight = classes["pos_weight"] or 1.0
-    weighted = _spread(rows, params.partitions).withColumn(
-        "_weight", F.when(F.col("label") == 1, weight).otherwise(1.0)
-    )
-    trees = GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="_weight",
-        maxIter=rounds,
-        maxDepth=params.max_depth,
-        stepSize=params.step_size,
-        seed=params.seed,
-        checkpointInterval=10,
-    )
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    return Pipeline(stages=[assembler, trees]).fit(weighted)
-
-
-def _spread(rows: DataFrame, partitions: int) -> DataFrame:
-    """Deal rows by their content, so the model does not depend on how they arrived."""
-    return rows.repartition(partitions, *rows.columns).sortWithinPartitions(*rows.columns)
-
-
-def choose_rounds(rows: DataFrame, params: TrainParams) -> int:
-    """The tree count with the best precision-recall area on the latest rows.
-
-    One fit with the most trees serves all counts: its first trees are the model
-    of a smaller count.
+def fit_and_stop(rows: DataFrame, params: TrainParams) -> tuple[Forest, list[float]]:
+    """Fit on the earlier rows, stop by the area on the latest ones.
+
+    Where one of the slices lacks a class, nothing can stop the fit: all rows get
+    ``unstopped`` rounds.
     """
-    options = sorted(params.rounds)
-    if len(options) == 1:
-        return options[0]
     parts = time_split(rows, params.train_share)
     early, late = parts.filter("is_train"), parts.filter("not is_train")
-    if not (has_two_classes(early) and has_two_classes(late)):
-        return options[-1]
-    margins = materialise(_margins(late, fit(early, options[-1], params), options))
-    areas = {n: auc_pr(margins, f"first_{n}") for n in options}
-    return max(options, key=lambda n: (areas[n], -n))
-
-
-def _margins(rows: DataFrame, model: PipelineModel, options: Sequence[int]) -> DataFrame:
-    """The label and, per tree count, the summed votes of the first trees.
-
-    The probability grows with the sum, so both give the same ranking.
-    """
-    assembler, boosted = model.stages
-    votes = assembler.transform(rows)
-    for number, tree in enumerate(boosted.trees):
-        votes = tree.setPredictionCol(f"_tree_{number}").transform(votes)
-    weighted = [F.col(f"_tree_{n}") * weight for n, weight in enumerate(boosted.treeWeights)]
-    return votes.select("label", *(sum(weighted[1:n], weighted[0]).alias(f"first_{n}") for n in options))
-
-
-def score(rows: DataFrame, model: PipelineModel, out: str = "churn_probability") -> DataFrame:
-    """Add the probability of class 1 and leave the model's own columns out."""
-    scored = model.transform(rows)
-    return scored.select(*rows.columns, vector_to_array("probability")[1].alias(out))
+    if has_two_classes(early) and has_two_classes(late):
+        return fit(early, late, FEATURES, params)
+    return fit(rows, None, FEATURES, replace(params, rounds=min(params.rounds, params.unstopped)))
 
 
 def evaluate(scored: DataFrame, threshold: float = 0.5) -> dict[str, float]:
@@ -135,7 +65,7 @@ def evaluate(scored: DataFrame, threshold: float = 0.5) -> dict[str, float]:
 
 
 def train(rows: DataFrame, params: TrainParams = TrainParams()) -> TrainResult:
-    """Split by time, choose the tree count, fit, and measure on the test rows.
+    """Split by time, fit until the latest training rows stop it, and measure on the test rows.
 
     ``rows`` should be stored (see :func:`training_rows`).
     """
@@ -143,10 +73,9 @@ def train(rows: DataFrame, params: TrainParams = TrainParams()) -> TrainResult:
     parts = split_for_training(rows, params.train_share)
     train_rows = parts.filter("is_train").drop("is_train")
     test_rows = parts.filter("not is_train").drop("is_train")
-    rounds = choose_rounds(train_rows, params)
-    model = fit(train_rows, rounds, params)
+    model, areas = fit_and_stop(train_rows, params)
     metrics = evaluate(materialise(score(test_rows, model).select("churn_probability", "label")))
-    used = {**params.__dict__, "rounds": rounds}
+    used = {**params.__dict__, "rounds": model.rounds, "fitted_rounds": len(areas) or model.rounds}
     return TrainResult(model, metrics, used, train_rows.select(*FEATURES))
 
 

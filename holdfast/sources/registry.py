@@ -6,10 +6,11 @@ import json
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast.functions.forest import Forest
+
 REGISTRY_SCHEMA = (
     "version int, path string, metrics map<string,double>, "
     "params map<string,string>, signature string, input_example string, saved_ts timestamp"
@@ -39,7 +40,7 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def save_model(
-    model: PipelineModel,
+    model: Forest,
     root: str,
     metrics: dict[str, float],
     params: dict[str, object] | None = None,
@@ -54,7 +55,7 @@ def save_model(
     newest = registry(spark, root).agg(F.max("version")).first()[0]
     version = (newest or 0) + 1
     path = f"{root}/v{version}"
-    model.write().save(path)
+    model.save(spark, path)
     row = Row(
         version=version,
         path=path,
@@ -79,17 +80,17 @@ def set_alias(spark: SparkSession, root: str, alias: str, version: int) -> None:
 
 def load_model(
     spark: SparkSession, root: str, version: int | None = None, alias: str = LATEST
-) -> PipelineModel:
+) -> Forest:
     """Load one version, or the one behind an alias."""
     if version is None:
         named = aliases(spark, root).filter(F.col("alias") == alias).orderBy(F.desc("number")).first()
         if named is None:
             raise LookupError(f"no model {alias} under {root}")
         version = named["version"]
-    return PipelineModel.load(_path(spark, root, version))
+    return Forest.load(spark, _path(spark, root, version))
 
 
-def load_latest(spark: SparkSession, root: str) -> PipelineModel:
+def load_latest(spark: SparkSession, root: str) -> Forest:
     """Load the model behind the alias ``latest``."""
     return load_model(spark, root)
 

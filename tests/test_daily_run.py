@@ -35,7 +35,7 @@ def test_daily_run(spark, lake):
         return read_table(spark, f"{lake}/{name}")
 
     snapshot, history = table("snapshot"), activity_history(table("daily_watch_time"))
-    assert train_and_register(snapshot, history, f"{lake}/models", TrainParams(rounds=(5, 10))) == 1
+    assert train_and_register(snapshot, history, f"{lake}/models", TrainParams(rounds=12, patience=4)) == 1
     assert registry(spark, f"{lake}/models").first().metrics["auc_roc"] > 0.5
     model = load_latest(spark, f"{lake}/models")
 

@@ -12,7 +12,7 @@ from holdfast.plans import scoring, training
 from holdfast.sources import registry
 
 DAY = date(2024, 1, 30)
-PARAMS = training.TrainParams(rounds=(2, 4), max_depth=3, step_size=0.3)
+PARAMS = training.TrainParams(rounds=14, patience=3, max_depth=3, step_size=0.3, unstopped=4)
 SNAPSHOT = (
     "user_id long, event_date date, is_active int, daily_watch_time_min double, "
     "watch_time_7d_min double, watch_time_30d_min double, active_days_7 long, active_days_30 long, "
@@ -53,7 +53,7 @@ def snapshot(spark):
 def test_model_learns(result):
     assert set(result.metrics) == {"auc_roc", "recall_0.5", "precision_0.5"}
     assert result.metrics["auc_roc"] > 0.8
-    assert result.params["rounds"] in PARAMS.rounds
+    assert result.params["rounds"] == result.model.rounds <= result.params["fitted_rounds"] <= PARAMS.rounds
 
 
 def test_one_class_is_rejected(rows):
@@ -78,7 +78,7 @@ def test_registry_keeps_versions(spark, result, rows, tmp_path):
     assert scoring.expected_features(loaded) == FEATURES
     both = [training.score(rows, m).select("churn_probability").collect() for m in (loaded, result.model)]
     assert both[0] == both[1]
-    assert registry.load_model(spark, root, 1).uid == result.model.uid
+    assert (registry.load_model(spark, root, 1).value == result.model.value).all()
     assert json.loads(entries[-1].signature)["outputs"] == [{"name": "churn_probability", "type": "double"}]
 
 
@@ -92,7 +92,7 @@ def test_alias_can_move_back(spark, result, tmp_path):
 
     assert latest() == 2
     registry.set_alias(spark, root, "latest", 1)
-    assert latest() == 1 and registry.load_latest(spark, root).uid == result.model.uid
+    assert latest() == 1 and registry.load_latest(spark, root).rounds == result.model.rounds
     with pytest.raises(LookupError):
         registry.set_alias(spark, root, "latest", 3)
     with pytest.raises(LookupError):
@@ -102,7 +102,7 @@ def test_alias_can_move_back(spark, result, tmp_path):
 def test_scores_do_not_depend_on_the_layout(spark, rows):
     found = []
     for parts in (1, 4, 7):
-        model = training.fit(rows.repartition(parts), 3, PARAMS)
+        model, _ = training.fit_and_stop(rows.repartition(parts), training.replace(PARAMS, rows_per_task=700 // parts))
         scored = training.score(rows, model).orderBy("user_id", "event_date").select("churn_probability")
         found.append(scored.collect())
     assert found[0] == found[1] == found[2]
@@ -129,10 +129,10 @@ def test_scoring_fails_fast(snapshot, result):
         scoring.score_day(unknown, result.model, day=DAY).collect()
 
 
-def test_rounds_fall_back_to_the_most(rows):
+def test_rounds_without_a_slice_that_stops_them(rows):
     early = rows.withColumn("label", (F.col("event_date") < "2024-01-03").cast("int"))
-    assert training.choose_rounds(early, PARAMS) == 4
-    assert training.choose_rounds(rows, training.TrainParams(rounds=(7,))) == 7
+    model, areas = training.fit_and_stop(early, PARAMS)
+    assert (model.rounds, areas) == (4, [])
 
 
 def test_training_rows_are_complete(spark, snapshot, tmp_path):

@@ -365,6 +365,20 @@ BODIES = {
           select w.show_id, coalesce(m.title, cast(w.show_id as varchar)) as title
           from (select distinct show_id from watch_events) w left join content_master m using (show_id)) x
         left join poster_paths p on p.title = x.title""",
+    "misspelt_posters": """select w.title, poster_path, cast(edits as int) as edits
+        from (select distinct substr(p_name, 1, p_partkey % length(p_name))
+            || substr(p_name, p_partkey % length(p_name) + 2) as title from part) w
+        left join (
+          select w.title, p.poster_path, levenshtein(w.title, p.title) as edits,
+            row_number() over (partition by w.title order by levenshtein(w.title, p.title), p.media_type, p.title,
+              p.poster_path) as n
+          from (select distinct substr(p_name, 1, p_partkey % length(p_name))
+              || substr(p_name, p_partkey % length(p_name) + 2) as title from part) w
+          join (select distinct * from posters) p on levenshtein(w.title, p.title)
+            <= case when length(w.title) < 5 then 0 when length(w.title) < 10 then 1 else 2 end) near
+        on near.title = w.title and n = 1""",
+    "resumed_messages": """select event_date, user_id, playbook_json, push_title, push_body, email_title,
+        timestamp '2024-01-31 06:00:00' as generated_ts, skipped from messages""",
     "outbox_rows": "select * from sent",
     "outbox_posters": f"""select user_id, string_agg({_POSTER}, ' ' order by rn) as posters
         from titled_shows x join delivery using (user_id)

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import responses, scores, text
 from holdfast.functions.forest import Forest
-from holdfast.operators import aggregates, filters, labels, ordering, shows, splits
+from holdfast.operators import aggregates, filters, labels, ordering, shows, splits, titles
+from holdfast.operators.joins import lookup
 from holdfast.plans import campaign, content, outbox, scoring, training
+from holdfast.plans.generation import AnswerLog
 from holdfast.plans.messages import Generate, build_messages
 from holdfast.session import ensure_checkpoint_dir, materialise
 from holdfast.sources.registry import load_latest, save_model
 from holdfast.sources.standins import AS_OF, LAST_SNAPSHOT, Inputs
-from holdfast.sources.tables import activity_history, read_date, replace_date
+from holdfast.sources.tables import activity_history, load, read_date, replace_date
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -510,6 +512,19 @@ def delivery_list(inputs: Inputs) -> DataFrame:
     )
 
 
+@_registered
+def resumed_messages(inputs: Inputs) -> DataFrame:
+    """Messages of a run that broke off after half of the users, and then went on from its log."""
+    log = AnswerLog(f"{ensure_checkpoint_dir(inputs.spark)}/answers-{uuid.uuid4().hex}")
+    brief = materialise(campaign.campaign_brief(
+        inputs.campaign_targets, inputs.snapshot, inputs.watch_events, inputs.content_master, DAY
+    ))
+    first = build_messages(brief.filter("user_id % 2 = 0"), sample_generator(), RUN_TS, log=log)
+    first.write.format("noop").mode("overwrite").save()
+    whole = build_messages(brief, sample_generator(), RUN_TS, log=log)
+    return whole.select("event_date", "user_id", "playbook_json", "push_title", "push_body", "email_title", "generated_ts", "skipped")
+
+
 @_registered
 def poster_lookup(inputs: Inputs) -> DataFrame:
     listed = content.with_titles(
@@ -518,6 +533,16 @@ def poster_lookup(inputs: Inputs) -> DataFrame:
     return outbox.with_posters(listed, inputs.posters)
 
 
+@_registered
+def misspelt_posters(inputs: Inputs) -> DataFrame:
+    """Posters of titles that each lack a letter."""
+    cut = (F.col("p_partkey") % F.length("p_name")).cast("int")
+    title = F.concat(F.substring("p_name", F.lit(1), cut), F.substring("p_name", cut + 2, F.length("p_name")))
+    wanted = load(inputs.spark, inputs.directory, "part").select(title.alias("title")).distinct()
+    found = lookup(wanted, titles.closest_posters(wanted, inputs.posters), ["title"])
+    return found.select("title", "poster_path", F.col("edits").cast("int").alias("edits"))
+
+
 @_registered
 def outbox_rows(inputs: Inputs) -> DataFrame:
     rows = outbox.outbox(_delivery(inputs), inputs.posters)

@@ -18,6 +18,7 @@ from holdfast.functions.payloads import (
     html_body,
     poster_url,
 )
+from holdfast.operators.titles import closest_posters
 from holdfast.operators.joins import lookup
 from holdfast.sources.tables import day_literal
 
@@ -61,10 +62,16 @@ def with_posters(
     posters: DataFrame,
     base: str = POSTER_BASE,
     placeholder: str = POSTER_PLACEHOLDER,
+    inexact: bool = False,
 ) -> DataFrame:
-    """Add ``poster`` to rows with a ``title``."""
+    """Add ``poster`` to rows with a ``title``.
+
+    ``inexact`` takes the closest title within a few edits (see :mod:`holdfast.operators.titles`),
+    else titles have to be equal.
+    """
+    paths = closest_posters(titled, posters).drop("edits") if inexact else poster_paths(posters)
     return (
-        lookup(titled, poster_paths(posters), ["title"])
+        lookup(titled, paths, ["title"])
         .withColumn("poster", poster_url(F.col("poster_path"), F.col("title"), base, placeholder))
         .select(*titled.columns, "poster")
     )

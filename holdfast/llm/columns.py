@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, with as many underscores before it as no column has (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def add_from_text(
     docs: DataFrame,
     fields: Mapping[str, str],

@@ -231,11 +231,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keep: Sequence[str] = ()
     fewer than five words is one shingle, a null text or one without words is linked
     with nothing. ``component_id`` is the smallest ``doc_id`` of the component (nulls
     last); ``kept`` marks one row of each component, the one with that id (of repeated ids,
-    the first). ``keep`` names further columns to return. Rows are numbered once and
+    the first). ``keep`` names further columns to return, which win over new ones of the same name. Rows are numbered once and
     written with their numbers, since a scan that is run again may be split otherwise.
     """
-    columns = dict.fromkeys(["doc_id", "text", *keep])
-    numbered = stored(docs.select(F.monotonically_increasing_id().alias("rid"), *columns), "numbered")
+    # The kept columns travel in a struct, so none has the name of a new one.
+    others = [c for c in keep if c not in ("doc_id", "text")]
+    row = [F.struct(*others).alias("row")] if others else []
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text", *row), "numbered")
     schema = StructType.fromDDL("rid bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, sketch binary")
     sent = numbered.select("rid", F.col("doc_id").cast("bigint"), "text")
     sketches = stored(sent.mapInArrow(_sketch, schema), "sketches")
@@ -260,7 +262,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keep: Sequence[str] = ()
     )
     if not keep:
         return result.drop("rid")
-    return numbered.select("rid", *keep).join(result.drop(*keep), "rid").drop("rid")
+    new = [c for c in result.columns if c not in ("rid", "doc_id") and c not in keep]
+    if "doc_id" not in keep:
+        new.insert(0, "doc_id")
+    joined = numbered.join(result.drop("doc_id"), "rid")
+    return joined.select(*(F.col("row")[c].alias(c) if c in others else c for c in keep), *new)
 
 
 def _groups(sketches: DataFrame, classes: DataFrame) -> DataFrame:

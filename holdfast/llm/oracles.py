@@ -52,7 +52,14 @@ runs as (
     else 'short ' || string_agg(word, ' ') over (p rows between unbounded preceding and unbounded following)
     end as shingle
   from placed window p as (partition by kind, id order by i)),
-shingled as (select distinct kind, id, shingle from runs where i <= greatest(n - 4, 1)),
+short as (select distinct n as m from placed where kind = 1 and n < 5),
+inside as (
+  select id, 'short ' || array_to_string(list_slice(w, i::bigint, i::bigint + m - 1), ' ') as shingle
+  from (select id, list(word order by i) as w, count(*) as n from placed where kind = 0 group by id) d
+    join short on m <= n, unnest(range(1, n - m + 2)) as r(i)),
+shingled as (
+  select distinct kind, id, shingle from runs where i <= greatest(n - 4, 1) and (kind = 1 or n >= 5)
+  union select 0, id, shingle from inside),
 items as (select id, shingle, count(*) over (partition by id) as n from shingled where kind = 1)
 select d.id as doc_id, i.id as item_id, cast(any_value(n) as int) as n_shingles,
   cast(count(*) as int) as n_found
@@ -90,8 +97,7 @@ from documents left join kept using (doc_id)
 _ORACLES["op6_hyperminhash"] = r"""
 with recursive split as (
   select doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+') as w from documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') as w from documents),
 unnested as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from split),
 placed as (
   select doc_id, word, count(*) over (partition by doc_id) as n,

@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.llm.columns import unused
 from holdfast.llm.decontam import word_list
 from holdfast.llm.store import stored
 from holdfast.llm.tokens import token_counts
@@ -31,9 +32,8 @@ BUCKETS, TOKEN_BUDGET, SHARD_ROWS = 16, 65_536, 20_000
 def cell(length: Column) -> Column:
     """The least length of the histogram cell that ``length`` is in."""
     # With e = floor(log2(length)), cells beyond EXACT are 2**e / PER_DOUBLING wide.
-    width = F.greatest(
-        F.lit(1), F.expr(f"shiftleft(1L, cast(floor(log2(greatest(_length, 1))) as int)) div {PER_DOUBLING}")
-    )
+    doubling = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))).cast("int")
+    width = F.greatest(F.lit(1), F.call_function("div", F.call_function("shiftleft", F.lit(1).cast("bigint"), doubling), F.lit(PER_DOUBLING)))
     rounded = F.floor(length / width).cast("bigint") * width
     return F.when(length <= EXACT, length).otherwise(rounded)
 
@@ -87,11 +87,12 @@ def pack(
     of their own; an empty table gives none.
     """
     keep = [c for c in keep if c not in ("length", "bucket", "shard", "batch", "slot")]
+    size_col, room_col, at_col = (unused(c, [*keep, "bucket", "shard"]) for c in ("size", "room", "at"))
     value = F.size(word_list(F.col("text"))) if length is None else length
-    sized = docs.select(*keep, F.coalesce(value, F.lit(0)).cast("bigint").alias("_length"))
+    sized = docs.select(*keep, F.coalesce(value, F.lit(0)).cast("bigint").alias(size_col))
     histogram = (
-        sized.groupBy(cell(F.col("_length")).alias("cell"))
-        .agg(F.max("_length").alias("longest"), F.count(F.lit(1)).alias("n"), F.sum("_length").alias("total"))
+        sized.groupBy(cell(F.col(size_col)).alias("cell"))
+        .agg(F.max(size_col).alias("longest"), F.count(F.lit(1)).alias("n"), F.sum(size_col).alias("total"))
         .orderBy("cell")
         .collect()  # a bounded number of cells
     )
@@ -104,26 +105,26 @@ def pack(
     def by_bucket(values: dict[int, int]) -> Column:
         chosen = F.lit(None).cast("bigint")
         for bound in reversed(bounds):
-            chosen = F.when(F.col("_length") <= bound, F.lit(values[bound]).cast("bigint")).otherwise(chosen)
+            chosen = F.when(F.col(size_col) <= bound, F.lit(values[bound]).cast("bigint")).otherwise(chosen)
         return chosen
 
     shards = {b: -(-texts[b] // max(SHARD_ROWS, room[b])) for b in bounds}
     places = sized.withColumns(
         {
             "bucket": by_bucket({b: b for b in bounds}),
-            "_room": by_bucket(room),
+            room_col: by_bucket(room),
             "shard": F.floor(F.rand(seed=8) * by_bucket({b: max(1, s) for b, s in shards.items()})).cast("int"),
         }
     )
-    order = Window.partitionBy("bucket", "shard").orderBy("_length", *keep)
-    numbered = places.withColumn("_at", F.row_number().over(order) - 1)
+    order = Window.partitionBy("bucket", "shard").orderBy(size_col, *keep)
+    numbered = places.withColumn(at_col, F.row_number().over(order) - 1)
     return numbered.select(
         *keep,
-        F.col("_length").alias("length"),
+        F.col(size_col).alias("length"),
         "bucket",
         "shard",
-        F.floor(F.col("_at") / F.col("_room")).cast("bigint").alias("batch"),
-        (F.col("_at") % F.col("_room")).cast("int").alias("slot"),
+        F.floor(F.col(at_col) / F.col(room_col)).cast("bigint").alias("batch"),
+        (F.col(at_col) % F.col(room_col)).cast("int").alias("slot"),
     )
 
 

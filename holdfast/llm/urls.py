@@ -27,6 +27,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.llm.columns import unused
 from holdfast.llm.store import stored
 
 BITS, HASHES, LEAST_WORDS, MAX_WORDS = 10, 4, 16, 8_000_000
@@ -162,10 +163,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> Dat
             for key in keys
         ]
     best = F.greatest(*found) if len(found) > 1 else found[0]
-    judged = parted.withColumn("_best", best)
+    chosen = unused("best", parted.columns)
+    judged = parted.withColumn(chosen, best)
     return judged.withColumns(
         {
-            "rule": F.col("_best.key"),
-            "verdict": F.coalesce(F.col("_best.verdict"), F.lit("allow")),
+            "rule": F.col(chosen)["key"],
+            "verdict": F.coalesce(F.col(chosen)["verdict"], F.lit("allow")),
         }
-    ).drop("_best")
+    ).drop(chosen)

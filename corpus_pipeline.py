@@ -57,7 +57,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", batches),
 ]
 
-ORACLE_SQL = None  # the classifier is a trained model; tests compare with a brute-force version
+ORACLE_SQL = None  # the classifier is a trained model; tests check planted cases
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

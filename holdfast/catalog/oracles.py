@@ -239,6 +239,20 @@ BODIES = {
               when active_days_7 / (active_days_30 / 4 + 1) <= 0.5 then 0.4 else 0.1 end
             + case when {_RISK} <= 1 then -0.2 else 0.25 end))) as p
           from snapshot where event_date = date '2024-01-30' and is_active = 1)""",
+    "audited_publish": """select user_id, event_date, churn_probability,
+          case when churn_probability < 0.44 then 'Low' when churn_probability < 0.51 then 'Mid'
+            when churn_probability < 0.55 then 'High' else 'Critical' end as probability_band,
+          cast(count(*) over () as int) as published_rows,
+          cast(count(*) filter (where churn_probability + 0.55 > 1) over () as int) as refused_rows
+        from predictions where event_date = date '2024-01-30'""",
+    "changing_columns": """select user_id, event_date,
+          case when event_date = date '2024-01-30' then active_days_7 / 2.0 else active_days_7 end as days,
+          case when event_date <> date '2024-01-29' then segment end as segment,
+          case when event_date > date '2024-01-28' then cast(is_active as bigint) end as is_active
+        from snapshot where event_date between date '2024-01-28' and date '2024-01-30'""",
+    "model_versions": """select v.version, (select cast(count(*) as double) from snapshot
+            where event_date = date '2024-01-30' and is_active = 1) as active_users, v.version = 2 as latest
+        from (values (1), (2), (3)) as v(version)""",
     "active_count": """select event_date, count(*) as n from snapshot where is_active = 1
         group by event_date""",
     "latest_date": """select coalesce(max(event_date), date '2024-01-30') as event_date from snapshot

@@ -6,7 +6,8 @@ import json
 import re
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,8 @@ from holdfast.plans import campaign, content, outbox, scoring, training
 from holdfast.plans.generation import AnswerLog
 from holdfast.plans.messages import Generate, build_messages
 from holdfast.session import ensure_checkpoint_dir, materialise
-from holdfast.sources.registry import load_latest, save_model
+from holdfast.sources.publish import Refused, publish_date, read_published
+from holdfast.sources.registry import LATEST, aliases, load_latest, load_signature, registry, save_model, set_alias
 from holdfast.sources.standins import AS_OF, LAST_SNAPSHOT, Inputs
 from holdfast.sources.tables import activity_history, load, read_date, replace_date
 
@@ -367,18 +369,70 @@ def fixed_forest() -> Forest:
 @_registered
 def stored_model_scores(inputs: Inputs) -> DataFrame:
     """The daily path with a known model: stored, loaded by alias, walked, banded, published, read back."""
-    published = _published(inputs, fixed_forest(), None)
+    published = _published(inputs, fixed_forest(), scores.features(inputs.snapshot).select(*scores.FEATURES))
     return published.withColumn("churn_probability", F.round("churn_probability", 6))
 
 
 def _published(inputs: Inputs, model: Forest, example: DataFrame | None) -> DataFrame:
     root = f"{ensure_checkpoint_dir(inputs.spark)}/daily-{uuid.uuid4().hex}"
     save_model(model, f"{root}/models", {}, TRAINING.__dict__, example)
-    scored = scoring.score_day(inputs.snapshot, load_latest(inputs.spark, f"{root}/models"), as_of=AS_OF)
-    replace_date(scored, f"{root}/scores", DAY)
+    model, signature = load_latest(inputs.spark, f"{root}/models"), load_signature(inputs.spark, f"{root}/models")
+    scored = scoring.score_day(inputs.snapshot, model, as_of=AS_OF, signature=signature)
+    publish_date(scored, f"{root}/scores", DAY, scoring.expectations())
     return read_date(inputs.spark, f"{root}/scores", DAY)
 
 
+@_registered
+def audited_publish(inputs: Inputs) -> DataFrame:
+    """A day that is published, and what is stored after a second write with bad rows was refused."""
+    path = f"{ensure_checkpoint_dir(inputs.spark)}/audited-{uuid.uuid4().hex}"
+    chance = F.col("churn_probability")
+    good = inputs.predictions.filter(F.col("event_date") == F.lit(DAY))
+    good = good.withColumn("probability_band", scores.probability_band(chance))
+    published = publish_date(good, path, DAY, scoring.expectations())
+    refused = {}
+    try:
+        publish_date(good.withColumn("churn_probability", chance + 0.55), path, DAY, scoring.expectations())
+    except Refused as error:
+        refused = error.broken
+    return read_published(inputs.spark, path).withColumns(
+        {
+            "published_rows": F.lit(int(published["rows"])),
+            "refused_rows": F.lit(int(refused.get("probability outside 0 to 1", 0))),
+        }
+    )
+
+
+@_registered
+def changing_columns(inputs: Inputs) -> DataFrame:
+    """Three dates whose columns widen, come and go, read back as one table."""
+    path = f"{ensure_checkpoint_dir(inputs.spark)}/changing-{uuid.uuid4().hex}"
+    days = F.col("active_days_7")
+    columns = [
+        [days.cast("int").alias("days"), "segment"],
+        [days.cast("bigint").alias("days"), F.col("is_active").cast("int").alias("is_active")],
+        [(days / 2).cast("double").alias("days"), "segment", F.col("is_active").cast("bigint").alias("is_active")],
+    ]
+    for back, some in zip((2, 1, 0), columns):
+        day = DAY - timedelta(days=back)
+        rows = inputs.snapshot.filter(F.col("event_date") == F.lit(day)).select("user_id", "event_date", *some)
+        publish_date(rows, path, day)
+    return read_published(inputs.spark, path)
+
+
+@_registered
+def model_versions(inputs: Inputs) -> DataFrame:
+    """Versions of three savers at once, and the one the alias names after it was moved back."""
+    spark, root = inputs.spark, f"{ensure_checkpoint_dir(inputs.spark)}/versions-{uuid.uuid4().hex}"
+    active = inputs.snapshot.filter((F.col("event_date") == F.lit(DAY)) & (F.col("is_active") == 1)).count()
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda _: save_model(fixed_forest(), root, {"active_users": active}), range(3)))
+    set_alias(spark, root, LATEST, 2)
+    named = aliases(spark, root).filter(F.col("alias") == LATEST).agg(F.max_by("version", "number").alias("named"))
+    saved = registry(spark, root).select("version", F.col("metrics")["active_users"].alias("active_users"))
+    return saved.join(F.broadcast(named)).select("version", "active_users", (F.col("version") == F.col("named")).alias("latest"))
+
+
 # Campaign
 
 

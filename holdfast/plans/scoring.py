@@ -12,6 +12,8 @@ from holdfast.functions.scores import align_features, features, probability_band
 from holdfast.operators.aggregates import describe_scores, value_counts
 from holdfast.operators.checks import require_columns, require_rows
 from holdfast.operators.filters import active_on, pick_date
+from holdfast.sources.publish import Expectation, no_null, none_where, rows_between
+from holdfast.sources.registry import Signature
 
 REQUIRED = [
     "user_id",
@@ -26,18 +28,32 @@ REQUIRED = [
     "churn_risk_level",
 ]
 
+def expectations() -> list[Expectation]:
+    """What a published day of scores must hold."""
+    chance = F.col("churn_probability")
+    return [
+        rows_between(1),
+        no_null("user_id"),
+        none_where("probability outside 0 to 1", chance.isNull() | ~chance.between(0, 1)),
+        none_where("unknown band", F.col("probability_band") == "Unknown"),
+    ]
+
 
 def expected_features(model: Forest) -> list[str]:
     """The features a model was trained on, in order."""
     return list(model.inputs)
 
 
-def with_scores(active: DataFrame, model: Forest) -> DataFrame:
-    """Probability and band of each row; an unknown risk level fails the run."""
+def with_scores(active: DataFrame, model: Forest, signature: Signature | None = None) -> DataFrame:
+    """Probability and band of each row; an unknown risk level fails the run.
+
+    With a signature, inputs of other types fail before any task runs.
+    """
     ready = align_features(
         features(active, strict=True), expected_features(model), keep=["user_id", "event_date"]
     )
-    return score(ready, model).select(
+    scored = score(signature.check_inputs(ready) if signature else ready, model)
+    return (signature.check_outputs(scored) if signature else scored).select(
         "user_id",
         "event_date",
         "churn_probability",
@@ -50,15 +66,17 @@ def score_day(
     model: Forest,
     day: date | str | None = None,
     as_of: date | None = None,
+    signature: Signature | None = None,
 ) -> DataFrame:
     """Scores of the users active on one date (see :func:`pick_date`).
 
-    Store the result with :func:`holdfast.sources.tables.replace_date`.
+    Store the result with :func:`holdfast.sources.publish.publish_date` and
+    :func:`expectations`.
     """
     require_columns(snapshot, REQUIRED)
     chosen = pick_date(snapshot, as_of, day)
     active = require_rows(active_on(snapshot, chosen), f"no active users on {chosen}")
-    return with_scores(active, model)
+    return with_scores(active, model, signature)
 
 
 def score_report(scores: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,40 +48,144 @@ def escape_html(text: Column) -> Column:
     return escaped
 
 
-_LISTED = r"(?:[-*+]|\d+[.)])[ \t]+"
+_QUOTED = r"^(?: {0,3}&gt; ?)*"
+_RULE = r"^ {0,3}(?:(?:-[ \t]*){3,}|(?:\*[ \t]*){3,}|(?:_[ \t]*){3,})$"
+_STATE = (
+    "struct<out: string, quotes: int, lists: array<struct<tag: string, indent: int>>, "
+    "pending: string, paragraph: boolean, code: boolean, gap: boolean>"
+)
 
 
 def intro_html(intro: Column) -> Column:
-    """HTML of the marked up intro: paragraphs, headings, lists, links, code, emphasis, breaks.
+    """HTML of the marked up intro, in which every tag that opens closes.
 
-    Blocks are separated by blank lines; a heading is a block by its line, and a list
-    begins a block of its own. Marks must touch the text they enclose.
+    Blocks are paragraphs, headings, rules, fenced code, quotes (``>``, also nested) and lists, nested by an indent of two or
+    more. Inline marks are links, code, emphasis and hard breaks; they must touch the text they
+    enclose. Lines are folded over the containers that are open.
     """
     text = F.regexp_replace(escape_html(intro), r"\r\n?", "\n")
-    text = F.regexp_replace(text, r"(?m)^(#{1,6} .*)$", "\n$1\n")
-    text = F.regexp_replace(text, rf"(?m)^((?!{_LISTED}).+)\n(?={_LISTED})", "$1\n\n")
-    blocks = F.filter(F.split(text, r"\n\s*\n|^\n+|\n+$"), lambda block: F.trim(block) != "")
-    return F.array_join(F.transform(blocks, _block_html), "\n")
-
-
-def _block_html(block: Column) -> Column:
-    lines = F.filter(F.split(block, "\n"), lambda line: F.trim(line) != "")
-    heading = F.regexp_extract(block, r"^\n*(#{1,6}) ", 1)
-    level = F.length(heading).cast("string")
-    title = _inline(F.regexp_replace(F.trim(F.regexp_replace(block, "\n", "")), r"^#{1,6} +", ""))
-    item = F.array_join(
-        F.transform(
-            lines, lambda x: F.concat(F.lit("<li>"), _inline(F.regexp_replace(x, f"^{_LISTED}", "")), F.lit("</li>"))
-        ),
-        "",
-    )
-    first = F.element_at(lines, 1)
-    paragraph = F.regexp_replace(F.trim(block), r"(?: {2,}|\\)\n", "<br>\n")
-    return (
-        F.when(heading != "", F.concat(F.lit("<h"), level, F.lit(">"), title, F.lit("</h"), level, F.lit(">")))
-        .when(first.rlike(r"^[-*+][ \t]+"), F.concat(F.lit("<ul>"), item, F.lit("</ul>")))
-        .when(first.rlike(r"^\d+[.)][ \t]+"), F.concat(F.lit("<ol>"), item, F.lit("</ol>")))
-        .otherwise(F.concat(F.lit("<p>"), _inline(paragraph), F.lit("</p>")))
+    start = F.lit("").alias("out"), F.lit(0).alias("quotes"), F.from_json(F.lit("[]"), "array<struct<tag: string, indent: int>>").alias("lists")
+    none = F.lit(None).cast("string").alias("pending"), *(F.lit(False).alias(n) for n in ("paragraph", "code", "gap"))
+    lines = F.transform(F.split(text, "\n"), _line)
+    return F.aggregate(lines, F.struct(*start, *none).cast(_STATE), _next_state, _all_closed)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _line(line: Column) -> Column:
+    """What kind of line it is, how deep, and its text."""
+    prefix = F.regexp_extract(line, _QUOTED, 0)
+    rest = F.regexp_replace(F.substring(line, F.length(prefix) + 1, F.length(line)), "\t", "    ")
+
+    def parts(rest: Column) -> Column:
+        kind = (
+            F.when(F.trim(rest) == "", "blank")
+            .when(rest.rlike(r"^ *(?:```|~~~)"), "fence")
+            .when(rest.rlike(r"^#{1,6} "), "heading")
+            .when(rest.rlike(_RULE), "rule")
+            .when(rest.rlike(r"^ *(?:[-*+]|\d+[.)]) +"), "item")
+            .otherwise("text")
+        )
+        return F.struct(
+            line.alias("raw"),
+            ((F.length(prefix) - F.length(F.replace(prefix, F.lit("&gt;")))) / 4).cast("int").alias("quotes"),
+            F.length(F.regexp_extract(rest, "^ *", 0)).alias("indent"),
+            kind.alias("kind"),
+            F.when(rest.rlike(r"^ *\d"), "ol").otherwise("ul").alias("tag"),
+            F.length(F.regexp_extract(rest, "^#*", 0)).cast("string").alias("level"),
+            F.ltrim(rest).alias("text"),
+        )
+
+    return _let(rest, parts)
+
+
+def _next_state(state: Column, line: Column) -> Column:
+    kind, text = line["kind"], line["text"]
+    lazy = (kind == "text") & state["pending"].isNotNull() & (line["quotes"] < state["quotes"])
+    quotes = F.when(lazy, state["quotes"]).otherwise(line["quotes"])
+    requoted = quotes != state["quotes"]
+    ends_lists = requoted | ((line["indent"] == 0) & (kind.isin("heading", "rule", "fence") | ((kind == "text") & state["gap"])))
+    upper = F.when(ends_lists, F.slice(state["lists"], 1, 0)).when(
+        kind == "item", F.filter(state["lists"], lambda x: x["indent"] <= line["indent"])
+    ).otherwise(state["lists"])
+
+    def with_lists(upper: Column) -> Column:
+        last = F.try_element_at(upper, F.lit(-1))
+        sibling = (kind == "item") & F.coalesce(line["indent"] < last["indent"] + 2, F.lit(False))
+        same = sibling & (last["tag"] == line["tag"])
+        kept = F.when(sibling & ~same, F.slice(upper, 1, F.greatest(F.size(upper) - 1, F.lit(0)))).otherwise(upper)
+        return _let(F.struct(kept.alias("kept"), same.alias("same")), with_kept)
+
+    def with_kept(found: Column) -> Column:
+        kept, same = found["kept"], found["same"]
+        goes_on = (kind == "text") & state["pending"].isNotNull() & ~requoted
+        opens = ~same & ~goes_on & (kind != "blank") & (F.size(kept) == 0) & (state["out"] != "")
+        begins = ~goes_on & (kind != "blank")
+        first = F.when(opens | (begins & (F.size(kept) == 0) & state["pending"].isNotNull() & ~same), "\n").otherwise("")
+        heading = _inline(F.trim(F.regexp_replace(text, "^#+ +", "")))
+        opener = (
+            F.when(same, "</li><li>")
+            .when(kind == "item", F.concat(F.lit("<"), line["tag"], F.lit("><li>")))
+            .when(kind == "heading", F.concat(F.lit("<h"), line["level"], F.lit(">"), heading, F.lit("</h"), line["level"], F.lit(">")))
+            .when(kind == "rule", "<hr>")
+            .when(kind == "fence", "<pre><code>")
+            .otherwise("")
+        )
+        out = F.concat(
+            state["out"],
+            F.when(goes_on, "").otherwise(_pending_html(state)),
+            _list_ends(state["lists"], F.size(kept)),
+            F.repeat(F.lit("</blockquote>"), F.greatest(state["quotes"] - quotes, F.lit(0))),
+            first,
+            F.repeat(F.lit("<blockquote>"), F.greatest(quotes - state["quotes"], F.lit(0))),
+            opener,
+        )
+        own = F.array(F.struct(line["tag"].alias("tag"), line["indent"].alias("indent")))
+        return F.struct(
+            out.alias("out"),
+            quotes.alias("quotes"),
+            F.when((kind == "item") & ~same, F.concat(kept, own)).otherwise(kept).alias("lists"),
+            F.when(goes_on, F.concat(state["pending"], F.lit("\n"), text))
+            .when(kind == "item", F.regexp_replace(text, r"^(?:[-*+]|\d+[.)]) +", ""))
+            .when(kind == "text", text)
+            .alias("pending"),
+            F.when(goes_on, state["paragraph"]).otherwise(kind == "text").alias("paragraph"),
+            (kind == "fence").alias("code"),
+            (kind == "blank").alias("gap"),
+        ).cast(_STATE)
+
+    closes = kind == "fence"
+    in_code = F.struct(
+        F.concat(state["out"], F.when(closes, "</code></pre>").otherwise(F.concat(line["raw"], F.lit("\n")))).alias("out"),
+        *(state[n].alias(n) for n in ("quotes", "lists", "pending", "paragraph")),
+        (~closes).alias("code"),
+        F.lit(False).alias("gap"),
+    ).cast(_STATE)
+    return F.when(state["code"], in_code).otherwise(_let(upper, with_lists))
+
+
+def _pending_html(state: Column) -> Column:
+    broken = F.regexp_replace(F.trim(state["pending"]), r"(?: {2,}|\\)\n", "<br>\n")
+    html = _inline(broken)
+    return F.coalesce(F.when(state["paragraph"], F.concat(F.lit("<p>"), html, F.lit("</p>"))).otherwise(html), F.lit(""))
+
+
+def _list_ends(lists: Column, kept: Column | int) -> Column:
+    """Ends of the lists beyond the first ``kept``, innermost first."""
+    ends = F.transform(lists, lambda x: F.concat(F.lit("</li></"), x["tag"], F.lit(">")))
+    return F.array_join(F.reverse(F.filter(ends, lambda x, i: i >= kept)), "")
+
+
+def _all_closed(state: Column) -> Column:
+    return F.concat(
+        state["out"],
+        F.when(state["code"], "</code></pre>").otherwise(""),
+        _pending_html(state),
+        _list_ends(state["lists"], 0),
+        F.repeat(F.lit("</blockquote>"), state["quotes"]),
     )
 
 

@@ -1,6 +1,7 @@
 import json
 import re
 from datetime import date
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,37 @@ def test_intro_marks(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
     rows = df.select("n", intro_html(F.col("t")).alias("h")).orderBy("n").collect()
     assert [r.h for r in rows] == list(texts.values())
+
+
+def test_intro_blocks_nest(spark):
+    texts = {
+        "- a\n  - b\n  - c\n- d": "<ul><li>a<ul><li>b</li><li>c</li></ul></li><li>d</li></ul>",
+        "- a\n  1. b\n    - c\n\nend": "<ul><li>a<ol><li>b<ul><li>c</li></ul></li></ol></li></ul>\n<p>end</p>",
+        "- a\n1. b": "<ul><li>a</li></ul>\n<ol><li>b</li></ol>",
+        "- a\nb\n\n- c": "<ul><li>a\nb</li><li>c</li></ul>",
+        "- a\n\n  b": "<ul><li>a<p>b</p></li></ul>",
+        "> a\nb\n> > c\n\nd": "<blockquote><p>a\nb</p>\n<blockquote><p>c</p></blockquote></blockquote>\n<p>d</p>",
+        "> - x\n> - y": "<blockquote><ul><li>x</li><li>y</li></ul></blockquote>",
+        "t\n```py\n*a* <b>\n\n- c\n```\n*e*": "<p>t</p>\n<pre><code>*a* &lt;b&gt;\n\n- c\n</code></pre>\n<p><em>e</em></p>",
+        "~~~\nopen": "<pre><code>open\n</code></pre>",
+        "a\n***\n## b\n- - -": "<p>a</p>\n<hr>\n<h2>b</h2>\n<hr>",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    rows = df.select("n", intro_html(F.col("t")).alias("h")).orderBy("n").collect()
+    assert [r.h for r in rows] == list(texts.values())
+
+
+def test_intro_tags_are_balanced(spark):
+    random = Random(5)
+    pieces = ["> ", "- ", "1. ", "  ", "    ", "```", "a", "**b**", "# ", "---", "<", "\n", "\n", "\n\n", "`c`", "\t", "~~~", ">"]
+    texts = ["".join(random.choices(pieces, k=random.randint(1, 30))) for _ in range(400)]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", intro_html(F.col("t")).alias("h")).collect()
+    assert len(found) == 400
+    for row in found:
+        opened = []
+        for end, tag in re.findall(r"<(/?)([a-z0-9]+)[^>]*>", row.h):
+            if end:
+                assert opened and opened.pop() == tag, row
+            elif tag not in ("br", "hr"):
+                opened.append(tag)
+        assert not opened, row

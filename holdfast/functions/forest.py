@@ -38,15 +38,18 @@ class Forest:
 
     def leaves(self, rows: np.ndarray) -> Iterator[np.ndarray]:
         """For each tree the value that every row (a column of ``rows``) ends at."""
-        at = np.arange(rows.shape[1])
-        for feature, cut, value in zip(self.feature, self.cut, self.value):
-            place = np.zeros(rows.shape[1], np.int64)
+        count = rows.shape[1]
+        flat, at = rows.reshape(-1), np.arange(count)
+        for tree in zip(self.feature, self.cut, self.value):
+            feature, cut, value = _complete(*tree)
+            line = feature * count
+            place = np.zeros(count, np.int64)
             for _ in range(int(len(feature)).bit_length() - 1):
-                of = feature[place]
-                inner = of >= 0
-                right = rows[of, at] > cut[place]
-                place = np.where(inner, 2 * place + 1 + right, place)
-            yield value[place]
+                right = flat.take(line.take(place) + at) > cut.take(place)
+                place *= 2
+                place += 1
+                place += right
+            yield value.take(place)
 
     def margins(self, rows: np.ndarray) -> np.ndarray:
         """Log odds of class 1 for every row."""
@@ -80,6 +83,18 @@ class Forest:
         return Forest(tuple(r["name"] for r in names), feature.astype(np.int64), cut, value)
 
 
+def _complete(feature: np.ndarray, cut: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same tree with all leaves in the last level, so that no row has to be asked whether it has ended."""
+    value, ended = value.copy(), feature < 0
+    low, high = 0, 1
+    while high < len(feature):  # places low to high are one level, their children the next
+        above, below = np.repeat(np.arange(low, high), 2), np.arange(high, 2 * high + 1)
+        value[below] = np.where(ended[above], value[above], value[below])
+        ended[below] |= ended[above]
+        low, high = high, 2 * high + 1
+    return np.where(ended, 0, feature), np.where(ended, np.inf, cut), value
+
+
 def matrix(batch: pa.RecordBatch, inputs: Sequence[str]) -> np.ndarray:
     """The inputs as doubles, one line each; null and NaN are 0."""
     lines = [batch.column(c).cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False) for c in inputs]

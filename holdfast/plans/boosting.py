@@ -124,9 +124,11 @@ def histogram(block: Block, recent: Forest, tree: Forest, level: int, live: np.n
     sums = np.rint((chance - block.label) * factor), np.rint(chance * (1 - chance) * factor)
     place = np.zeros(len(chance), np.int64)
     at = np.arange(len(chance))
+    flat = block.bins.reshape(-1)
     for _ in range(level):
-        of = tree.feature[0][place]
-        place = np.where(of >= 0, 2 * place + 1 + (block.bins[of, at] > tree.cut[0][place]), -1)
+        of = tree.feature[0].take(place)
+        right = flat.take(of * len(chance) + at) > tree.cut[0].take(place)
+        place = np.where(of >= 0, 2 * place + 1 + right, -1)
         if (place < 0).any():  # rows in leaves are done
             stays = np.flatnonzero(place >= 0)
             place, at, sums = place[stays], at[stays], tuple(s[stays] for s in sums)

@@ -74,7 +74,7 @@ def op6_hyperminhash(spark: SparkSession, directory: str) -> DataFrame:
 
 def op7_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """Every document without the words of repeated windows."""
-    kept = substrings.remove_repeats(_table(spark, directory, "documents"), keep=["doc_id"])
+    kept = substrings.remove_repeats(_table(spark, directory, "documents"), keep=["doc_id"], is_scan=True)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

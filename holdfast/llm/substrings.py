@@ -6,9 +6,10 @@ that are both in the cover modulo the period. An anchor is the hash of ``ANCHOR`
 a cover position, short enough to lie within the window for every such shift. So a window
 that occurs twice holds an anchor that occurs twice, and only a quarter of all positions
 have to be hashed and shuffled to find it. Around anchors that occur twice, the windows
-that hold them are hashed in full and compared again; words that equal windows cover go.
+that hold them are hashed in full, by two hashes of 64 bits, and compared again; words that equal windows cover go.
 
-Documents are dealt into chunks of 256 rows. What is shuffled is one row for each
+Documents are dealt into chunks of at most 256 rows and ``CHUNK_ROW << CHUNK_BITS`` bytes; the more
+bytes a row has, the fewer share its chunk, and a longer one is a chunk of its own. What is shuffled is one row for each
 hash and chunk (two if it occurs there more than once), so a passage that a third of all
 documents share is one row a chunk, and groups of equal hashes are only counted, never
 listed in pairs. The texts meet their chunk's repeated hashes through one exchange, used
@@ -21,19 +22,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.llm.textarrays import Words, row_slices, utf8, window_hashes, words
+from holdfast.llm.store import stored
+from holdfast.llm.textarrays import Words, mix, row_slices, utf8, window_hashes, words
 
 WINDOW = 35
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 ANCHOR = WINDOW - PERIOD + 1
-CHUNK_BITS = 8  # rows of a chunk, as a power of two
+CHUNK_BITS = 8  # most rows of a chunk, as a power of two
+CHUNK_ROW = 1 << 15  # bytes up to which rows come as many to a chunk; twice as many bytes, half as many rows
 
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
-_HASHES = "hash bigint, chunk bigint"
+_ANCHORS = "hash bigint, chunk bigint"
+_WINDOWS = "hash bigint, second bigint, chunk bigint"
 
 
 class _Slice:
@@ -81,11 +85,33 @@ def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[at] == values
 
 
-def _rows_of(hashes: np.ndarray, chunk: int) -> pa.RecordBatch:
-    """One row a hash, two if it occurs more than once."""
-    value, n = np.unique(hashes, return_counts=True)
-    value = np.concatenate((value, value[n > 1])).view(np.int64)
-    return pa.record_batch([pa.array(value), pa.array(np.full(len(value), chunk))], names=["hash", "chunk"])
+def _pair_member(values: np.ndarray, seconds: np.ndarray, of: np.ndarray, of_seconds: np.ndarray) -> np.ndarray:
+    """Whether each pair is one of the others."""
+    order = np.lexsort((of_seconds, of))
+    of, of_seconds = of[order], of_seconds[order]
+    at, found = np.searchsorted(of, values), np.zeros(len(values), bool)
+    left = np.arange(len(values))
+    while True:  # once for each pair that shares its first hash
+        left = left[~found[left] & (at[left] < len(of))]
+        left = left[of[at[left]] == values[left]]
+        if not len(left):
+            return found
+        found[left] = of_seconds[at[left]] == seconds[left]
+        at[left] += 1
+
+
+def _rows_of(chunk: int, **hashes: np.ndarray) -> pa.RecordBatch:
+    """One row a hash (or pair of hashes), two if it occurs more than once."""
+    order = np.lexsort([*hashes.values()])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for values in hashes.values():
+        new[1:] |= values[order[1:]] != values[order[:-1]]
+    first = np.flatnonzero(new)
+    again = first[np.diff(first, append=len(order)) > 1]
+    rows = order[np.concatenate((first, again))]
+    columns = {name: pa.array(values[rows].view(np.int64)) for name, values in hashes.items()}
+    return pa.record_batch(columns | {"chunk": pa.array(np.full(len(rows), chunk))})
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -102,30 +128,45 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, hashes = part.anchors()
             chunk = chunks[low:high][part.words.row[at]]
             for c in np.unique(chunk):
-                yield _rows_of(hashes[chunk == c], c)
+                yield _rows_of(c, hash=hashes[chunk == c])
+
+
+def _window_pairs(part: _Slice, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the windows that begin at ``starts``."""
+    first = window_hashes(part.words.hashes, WINDOW)[starts]
+    return first, window_hashes(mix(~part.words.hashes), WINDOW)[starts]
 
 
 def _window_rows(docs: pa.Table, repeated: pa.Table) -> pa.Table:
-    found = []
+    found = [(np.empty(0, np.uint64), np.empty(0, np.uint64))]
     known = np.sort(repeated["hash"].to_numpy().view(np.uint64))
     if len(known) and docs.num_rows:
         for _, _, data, offsets in _slices(docs["text"].combine_chunks()):
             part = _Slice(data, offsets)
             starts = part.candidates(known)
             if len(starts):
-                found.append(window_hashes(part.words.hashes, WINDOW)[starts])
-    hashes = np.concatenate(found) if found else np.empty(0, np.uint64)
+                found.append(_window_pairs(part, starts))
+    first, second = (np.concatenate(x) for x in zip(*found))
     chunk = docs["chunk"][0].as_py() if docs.num_rows else 0
-    return pa.Table.from_batches([_rows_of(hashes, chunk)])
+    return pa.Table.from_batches([_rows_of(chunk, hash=first, second=second)])
+
 
+def _repeated(hashes: DataFrame, *by: str) -> DataFrame:
+    """Rows whose hashes occur at least twice; counted, so no group is gathered."""
+    count = F.count(F.lit(1)).over(Window.partitionBy(*by))
+    return hashes.withColumn("n", count).filter("n > 1").select(*by, "chunk")
 
-def _repeated(hashes: DataFrame) -> DataFrame:
-    """Rows whose hash occurs at least twice; counted, so no group is gathered."""
-    count = F.count(F.lit(1)).over(Window.partitionBy("hash"))
-    return hashes.withColumn("n", count).filter("n > 1").select("hash", "chunk")
 
+def _chunk(number: Column, size: Column) -> Column:
+    """The chunk of the row with this number and so many bytes of text."""
+    halvings = sum((size >= CHUNK_ROW << k).cast("int") for k in range(CHUNK_BITS))
+    place = F.call_function("shiftright", number, CHUNK_BITS - halvings)
+    return place * 16 + halvings  # rows of other sizes have chunks of their own
 
-def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None, leave: bool = False) -> DataFrame:
+
+def remove_repeats(
+    docs: DataFrame, keep: Sequence[str] | None = None, leave: bool = False, is_scan: bool = False
+) -> DataFrame:
     """Remove every word of ``text`` that a repeated window covers.
 
     Returns the columns ``keep`` (all by default) with ``text`` replaced by the words that
@@ -133,17 +174,19 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None, leave: bo
     are replaced). A window is repeated if its words also begin at another position of
     the same or another row; all are judged on the input. A null or empty text has no
     words and becomes empty. Repeated rows are rows of their own, so long ones repeat
-    each other. ``docs`` should be a table scan: rows are numbered by their place in it.
+    each other.
+
+    Rows are numbered by their place in the input, which is read twice. So ``docs`` is written
+    first, unless ``is_scan`` says that it is a table scan, which has the same order each time.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("text", "n_words", "n_removed")]
     chunk = "chunk"
     renamed = {c: f"c{i}" for i, c in enumerate(keep)}
-    number = F.monotonically_increasing_id()
-    dealt = docs.select(
-        *(F.col(c).alias(renamed[c]) for c in keep),
-        "text",
-        F.shiftright(number, CHUNK_BITS).alias(chunk),
-    )
+    asked = docs.select(*(F.col(c).alias(renamed[c]) for c in keep), "text")
+    if not is_scan:
+        asked = stored(asked, "repeats-input")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    dealt = asked.withColumn(chunk, _chunk(F.monotonically_increasing_id(), size))
     schema = StructType(
         [
             *dealt.drop("text", chunk).schema.fields,
@@ -152,14 +195,13 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None, leave: bo
     )
 
     def kept_rows(rows: pa.Table, repeated: pa.Table) -> pa.Table:
-        known = np.sort(repeated["hash"].to_numpy().view(np.uint64))
+        known = [repeated[c].to_numpy().view(np.uint64) for c in ("hash", "second")]
         texts, n_words, n_removed = [], [], []
         column = rows["text"].combine_chunks()
         for low, high, data, offsets in _slices(column):
             part = _Slice(data, offsets)
-            hashes = window_hashes(part.words.hashes, WINDOW)
-            starts = np.flatnonzero(part.whole)
-            gone = part.covered(starts[_member(hashes[starts], known)])
+            starts = np.flatnonzero(part.whole) if len(known[0]) else np.empty(0, np.int64)
+            gone = part.covered(starts[_pair_member(*_window_pairs(part, starts), *known)])
             n_words.append(np.diff(part.first))
             removed = np.concatenate(([0], np.cumsum(gone)))
             n_removed.append(np.diff(removed[part.first]))
@@ -176,8 +218,8 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] | None = None, leave: bo
         columns = [rows[f.name] for f in schema.fields[:-3]]
         return pa.table([*columns, *new], names=schema.names)
 
-    anchors = _repeated(dealt.select("text", chunk).mapInArrow(_anchor_rows, _HASHES))
+    anchors = _repeated(dealt.select("text", chunk).mapInArrow(_anchor_rows, _ANCHORS), "hash")
     grouped = dealt.groupBy(chunk)
-    windows = grouped.cogroup(anchors.groupBy(chunk)).applyInArrow(_window_rows, _HASHES)
-    result = grouped.cogroup(_repeated(windows).groupBy(chunk)).applyInArrow(kept_rows, schema)
+    windows = grouped.cogroup(anchors.groupBy(chunk)).applyInArrow(_window_rows, _WINDOWS)
+    result = grouped.cogroup(_repeated(windows, "hash", "second").groupBy(chunk)).applyInArrow(kept_rows, schema)
     return result.select(*(F.col(renamed[c]).alias(c) for c in keep), "text", "n_words", "n_removed")

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
 _U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so powers never vanish modulo 2**64
+_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
@@ -89,18 +89,17 @@ def _hash_words(data: np.ndarray, solid: np.ndarray, start: np.ndarray, stop: in
     spans = np.diff(at, append=size)
     place = np.arange(size) - np.repeat(at, spans)
     value = np.where(solid[base:stop], data[base:stop].astype(_U64) + _U64(1), _U64(0))
-    value *= _powers(_BASE, _STEP)[place % _STEP]
+    value *= _multipliers(0, _STEP)[place % _STEP]
     if spans.max() > _STEP:
-        jumps = pow(_BASE, _STEP, 1 << 64)
-        value *= _powers(jumps, int(spans.max()) // _STEP + 1)[place // _STEP]
+        value *= _multipliers(1, int(spans.max()) // _STEP + 1)[place // _STEP]
     return mix(np.add.reduceat(value, at))
 
 
 @cache
-def _powers(base: int, count: int) -> np.ndarray:
-    table = np.full(count, base, _U64)
-    table[0] = 1
-    return np.cumprod(table, dtype=_U64)
+def _multipliers(kind: int, count: int) -> np.ndarray:
+    """Odd numbers without order. Powers of one base would be multiples of ever higher
+    powers of two in sums of alternating signs, so that long words of a certain form collide."""
+    return mix((np.arange(count, dtype=_U64) * _U64(2) + _U64(kind)) * _U64(_BASE)) | _U64(1)
 
 
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -134,6 +134,42 @@ def test_repeats_equal_brute_force(stored_docs, docs):
     assert substrings.remove_repeats(docs()).count() == 0
 
 
+def test_repeats_of_a_shuffled_input_and_by_bytes(spark, docs, monkeypatch):
+    r = random.Random(9)
+    word = lambda: f"w{r.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(80))
+    texts = [" ".join(word() for _ in range(r.choice((20, 200, 3_000)))) for _ in range(60)]
+    texts = [t + " " + passage if k % 4 == 0 else t for k, t in enumerate(texts)] + [passage * 3]
+    monkeypatch.setattr(substrings, "CHUNK_ROW", 1 << 9)
+    shuffled = docs(*texts).repartition(5).distinct()
+    got = substrings.remove_repeats(shuffled, keep=["doc_id"]).orderBy("doc_id").collect()
+    assert [(g["n_words"], g["n_removed"], g["text"]) for g in got] == _without_repeats(texts)
+
+
+def test_chunks_are_bounded_by_bytes(spark):
+    sizes = [0, 10, (1 << 15) - 1, 1 << 15, 1 << 16, 100_000, 1 << 20, (1 << 22) - 1, 1 << 22, 1 << 27]
+    rows = spark.range(0, 20_000, 1, 1).withColumn("size", F.element_at(F.array(*map(F.lit, sizes)), (F.col("id") * 7 % 10 + 1).cast("int")))
+    chunks = rows.groupBy(substrings._chunk(F.col("id"), F.col("size")).alias("chunk")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    assert chunks.filter("n > 256 or n > 1 and bytes > 1 << 23").count() == 0
+    assert chunks.filter("n = 1").agg(F.max("bytes")).first()[0] == 1 << 27
+
+
+def test_windows_are_compared_by_both_hashes():
+    u = lambda *x: np.array(x, np.uint64)
+    of, seconds = u(5, 5, 5, 2, 9), u(1, 3, 3, 7, 0)
+    got = substrings._pair_member(u(5, 5, 5, 2, 9, 10, 0), u(3, 2, 1, 7, 1, 0, 0), of, seconds)
+    assert got.tolist() == [True, False, True, True, False, False, False]
+    assert not substrings._pair_member(u(1), u(1), u(), u()).any()
+    rows = substrings._rows_of(4, hash=of, second=seconds).to_pylist()
+    assert sorted((x["hash"], x["second"]) for x in rows) == [(2, 7), (5, 1), (5, 3), (5, 3), (9, 0)]
+
+
+def test_words_of_alternating_form_do_not_collide():
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(2_048))  # collides for powers of any odd base
+    text = (one + " " + one.translate(str.maketrans("ab", "ba"))).encode()
+    assert len(set(words(np.frombuffer(text, np.uint8), np.array([0, len(text)])).hashes.tolist())) == 2
+
+
 def test_long_words_and_windows_hash_by_content():
     text = ("q" * 10_000 + " " + "z " * 3 + "q" * 10_000).encode()
     found = words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))

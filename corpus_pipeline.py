@@ -32,7 +32,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A text that loses no word stays as it is, white space included.
     """
-    changed = substrings.remove_repeats(docs, leave=True)
+    changed = substrings.remove_repeats(docs, leave=True, is_scan=True)
     if "n_chars" in docs.columns:
         length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
         changed = changed.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))

@@ -6,7 +6,8 @@ that are both in the cover modulo the period. An anchor is the hash of ``ANCHOR`
 a cover position, short enough to lie within the window for every such shift. So a window
 that occurs twice holds an anchor that occurs twice, and only a quarter of all positions
 have to be hashed and shuffled to find it. Around anchors that occur twice, the windows
-that hold them are hashed in full, by two hashes of 64 bits, and compared again; words that equal windows cover go.
+that hold them are hashed in full, by two hashes of together 96 bits, and compared again; words that equal windows cover go. Back in its own
+chunk a window is told from others of that chunk by the first hash.
 
 Documents are dealt into chunks of at most 256 rows and ``CHUNK_ROW << CHUNK_BITS`` bytes; the more
 bytes a row has, the fewer share its chunk, and a longer one is a chunk of its own. What is shuffled is one row for each
@@ -37,7 +38,7 @@ CHUNK_ROW = 1 << 15  # bytes up to which rows come as many to a chunk; twice as
 
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 _ANCHORS = "hash bigint, chunk bigint"
-_WINDOWS = "hash bigint, second bigint, chunk bigint"
+_WINDOWS = "hash bigint, second int, chunk bigint"
 
 
 class _Slice:
@@ -85,21 +86,6 @@ def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[at] == values
 
 
-def _pair_member(values: np.ndarray, seconds: np.ndarray, of: np.ndarray, of_seconds: np.ndarray) -> np.ndarray:
-    """Whether each pair is one of the others."""
-    order = np.lexsort((of_seconds, of))
-    of, of_seconds = of[order], of_seconds[order]
-    at, found = np.searchsorted(of, values), np.zeros(len(values), bool)
-    left = np.arange(len(values))
-    while True:  # once for each pair that shares its first hash
-        left = left[~found[left] & (at[left] < len(of))]
-        left = left[of[at[left]] == values[left]]
-        if not len(left):
-            return found
-        found[left] = of_seconds[at[left]] == seconds[left]
-        at[left] += 1
-
-
 def _rows_of(chunk: int, **hashes: np.ndarray) -> pa.RecordBatch:
     """One row a hash (or pair of hashes), two if it occurs more than once."""
     order = np.lexsort([*hashes.values()])
@@ -110,7 +96,7 @@ def _rows_of(chunk: int, **hashes: np.ndarray) -> pa.RecordBatch:
     first = np.flatnonzero(new)
     again = first[np.diff(first, append=len(order)) > 1]
     rows = order[np.concatenate((first, again))]
-    columns = {name: pa.array(values[rows].view(np.int64)) for name, values in hashes.items()}
+    columns = {name: pa.array(values[rows].view(f"i{values.itemsize}")) for name, values in hashes.items()}
     return pa.record_batch(columns | {"chunk": pa.array(np.full(len(rows), chunk))})
 
 
@@ -132,13 +118,14 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _window_pairs(part: _Slice, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of the windows that begin at ``starts``."""
+    """Two independent hashes of the windows that begin at ``starts``, the second of 32 bits."""
     first = window_hashes(part.words.hashes, WINDOW)[starts]
-    return first, window_hashes(mix(~part.words.hashes), WINDOW)[starts]
+    second = window_hashes(mix(~part.words.hashes), WINDOW)[starts]
+    return first, (second >> np.uint64(32)).astype(np.uint32)
 
 
 def _window_rows(docs: pa.Table, repeated: pa.Table) -> pa.Table:
-    found = [(np.empty(0, np.uint64), np.empty(0, np.uint64))]
+    found = [(np.empty(0, np.uint64), np.empty(0, np.uint32))]
     known = np.sort(repeated["hash"].to_numpy().view(np.uint64))
     if len(known) and docs.num_rows:
         for _, _, data, offsets in _slices(docs["text"].combine_chunks()):
@@ -152,9 +139,9 @@ def _window_rows(docs: pa.Table, repeated: pa.Table) -> pa.Table:
 
 
 def _repeated(hashes: DataFrame, *by: str) -> DataFrame:
-    """Rows whose hashes occur at least twice; counted, so no group is gathered."""
+    """Hash and chunk of rows whose hashes occur at least twice; counted, so no group is gathered."""
     count = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    return hashes.withColumn("n", count).filter("n > 1").select(*by, "chunk")
+    return hashes.withColumn("n", count).filter("n > 1").select("hash", "chunk")
 
 
 def _chunk(number: Column, size: Column) -> Column:
@@ -195,13 +182,14 @@ def remove_repeats(
     )
 
     def kept_rows(rows: pa.Table, repeated: pa.Table) -> pa.Table:
-        known = [repeated[c].to_numpy().view(np.uint64) for c in ("hash", "second")]
+        known = np.sort(repeated["hash"].to_numpy().view(np.uint64))
         texts, n_words, n_removed = [], [], []
         column = rows["text"].combine_chunks()
         for low, high, data, offsets in _slices(column):
             part = _Slice(data, offsets)
-            starts = np.flatnonzero(part.whole) if len(known[0]) else np.empty(0, np.int64)
-            gone = part.covered(starts[_pair_member(*_window_pairs(part, starts), *known)])
+            hashes = window_hashes(part.words.hashes, WINDOW)
+            starts = np.flatnonzero(part.whole)
+            gone = part.covered(starts[_member(hashes[starts], known)])
             n_words.append(np.diff(part.first))
             removed = np.concatenate(([0], np.cumsum(gone)))
             n_removed.append(np.diff(removed[part.first]))

@@ -154,14 +154,13 @@ def test_chunks_are_bounded_by_bytes(spark):
     assert chunks.filter("n = 1").agg(F.max("bytes")).first()[0] == 1 << 27
 
 
-def test_windows_are_compared_by_both_hashes():
-    u = lambda *x: np.array(x, np.uint64)
-    of, seconds = u(5, 5, 5, 2, 9), u(1, 3, 3, 7, 0)
-    got = substrings._pair_member(u(5, 5, 5, 2, 9, 10, 0), u(3, 2, 1, 7, 1, 0, 0), of, seconds)
-    assert got.tolist() == [True, False, True, True, False, False, False]
-    assert not substrings._pair_member(u(1), u(1), u(), u()).any()
-    rows = substrings._rows_of(4, hash=of, second=seconds).to_pylist()
+def test_windows_are_compared_by_both_hashes(spark):
+    first, second = np.array([5, 5, 5, 2, 9], np.uint64), np.array([1, 3, 3, 7, 0], np.uint32)
+    rows = substrings._rows_of(4, hash=first, second=second).to_pylist()
     assert sorted((x["hash"], x["second"]) for x in rows) == [(2, 7), (5, 1), (5, 3), (5, 3), (9, 0)]
+    sent = spark.createDataFrame([*((x["hash"], x["second"], 4) for x in rows), (9, 1, 6), (2, 7, 6)], substrings._WINDOWS)
+    found = substrings._repeated(sent, "hash", "second").collect()
+    assert sorted((x["hash"], x["chunk"]) for x in found) == [(2, 4), (2, 6), (5, 4), (5, 4)]
 
 
 def test_words_of_alternating_form_do_not_collide():

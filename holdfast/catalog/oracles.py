@@ -270,6 +270,7 @@ BODIES = {
         where event_date <= (select max(event_date) from daily_watch_time) - 7""",
     "churn_labels": "select * from churn_labels",
     "churn_labels_window": "select * from churn_labels",
+    "churn_labels_colocated": "select * from churn_labels",
     "label_counts": "select label, count(*) as n from churn_labels group by label",
     "risk_encoding": f"""select user_id, event_date, churn_risk_level, {_RISK} as risk_level_encoded
         from snapshot""",
@@ -329,6 +330,7 @@ BODIES = {
     # Campaign
     "critical_targets": "select * from critical order by priority_rank, user_id limit 5",
     "target_facts": "select * from facts",
+    "target_facts_colocated": "select * from facts",
     "campaign_brief": "select * from briefs",
     "suppressed_targets": "select * from skips",
     "guided_targets": f"select user_id, event_date, strategy_code, {', '.join(_GUIDED)} from guided",

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from holdfast.functions import responses, scores, text
 from holdfast.functions.forest import Forest
 from holdfast.operators import aggregates, filters, labels, ordering, shows, splits, titles
-from holdfast.operators.joins import lookup
+from holdfast.operators.joins import colocated_lookup, lookup
 from holdfast.plans import campaign, content, outbox, scoring, training
 from holdfast.plans.generation import AnswerLog
 from holdfast.plans.messages import Generate, build_messages
 from holdfast.session import ensure_checkpoint_dir, materialise
+from holdfast.sources.colocated import save_colocated
 from holdfast.sources.publish import Refused, publish_date, read_published
 from holdfast.sources.registry import LATEST, aliases, load_latest, load_signature, registry, save_model, set_alias
 from holdfast.sources.standins import AS_OF, LAST_SNAPSHOT, Inputs
@@ -30,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = LAST_SNAPSHOT
 RUN_TS = datetime(2024, 1, 31, 6, 0, tzinfo=timezone.utc)
+USER_BUCKETS = 8  # of the small test inputs
 TRAINING = training.TrainParams()
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -230,6 +232,26 @@ def churn_labels_window(inputs: Inputs) -> DataFrame:
     return labelled.select("user_id", "event_date", "segment", "label")
 
 
+def _colocated(df: DataFrame, name: str) -> DataFrame:
+    name = f"{name}_{uuid.uuid4().hex}"
+    return save_colocated(df, name, f"{ensure_checkpoint_dir(df.sparkSession)}/{name}", USER_BUCKETS)
+
+
+@_registered
+def churn_labels_colocated(inputs: Inputs) -> DataFrame:
+    snapshot = _colocated(inputs.snapshot, "snapshot")
+    history = _colocated(activity_history(inputs.daily_watch_time), "history")
+    labelled = labels.label_churn_colocated(snapshot, history)
+    return labelled.select("user_id", "event_date", "segment", "label")
+
+
+@_registered
+def target_facts_colocated(inputs: Inputs) -> DataFrame:
+    targets = _colocated(inputs.campaign_targets.select(*campaign.TARGET_COLUMNS), "targets")
+    snapshot = _colocated(inputs.snapshot, "snapshot")
+    return colocated_lookup(targets, snapshot, campaign.FACT_COLUMNS, "user_id", per="event_date")
+
+
 @_registered
 def label_counts(inputs: Inputs) -> DataFrame:
     return aggregates.value_counts(_labelled(inputs), "label")

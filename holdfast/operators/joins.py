@@ -18,6 +18,26 @@ def matching(df: DataFrame, unique: DataFrame, keys: Sequence[str]) -> DataFrame
     return _spread_join(df, unique.select(*keys), keys, "left_semi")
 
 
+def colocated_lookup(
+    df: DataFrame, table: DataFrame, columns: Sequence[str], key: str, per: str | None = None
+) -> DataFrame:
+    """Left join of two tables stored in equal buckets of ``key``, without a shuffle; adds ``columns``.
+
+    ``per`` is a further key of bounded range (a date or block of days): a user's rows of ``table`` become one map by
+    it, so the join needs ``key`` alone, which is what the buckets are dealt by. Of repeated rows of
+    ``table`` the least counts; rows of ``df`` are all kept, once each. On tables that are not in buckets the
+    result is the same, by way of shuffles. ``columns`` must not be columns of ``df``.
+    """
+    keys = [key] if per is None else [key, per]
+    found = table.dropna(subset=keys).groupBy(*keys).agg(F.min(F.struct(*columns)).alias("_found"))
+    if per is not None:
+        by_day = F.map_from_entries(F.collect_list(F.struct(per, "_found")))
+        found = found.groupBy(key).agg(by_day.alias("_found"))
+    joined = df.join(found.hint("merge"), key, "left")
+    picked = F.col("_found") if per is None else F.try_element_at("_found", F.col(per))
+    return joined.withColumn("_found", picked).select(*df.columns, *(F.col(f"_found.{c}").alias(c) for c in columns))
+
+
 def _spread_join(df: DataFrame, unique: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join so that a hot key of ``df`` can be split.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.operators.joins import lookup
+from holdfast.operators.joins import colocated_lookup, lookup
 
 
 def safe_zone(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> DataFrame:
@@ -36,18 +36,27 @@ def label_churn(
     if deduplicate:
         settled = settled.dropDuplicates()
     reach = _activity_reach(history, horizon)
-    active = (F.col("_last_here") > F.col("event_date")) | (
-        F.col("_first_next") <= F.date_add("event_date", horizon)
-    )
     return (
         lookup(
             settled.withColumn("_block", _block(F.col("event_date"), horizon)),
             reach,
             ["user_id", "_block"],
-        ).select(*snapshot.columns, _label(active))
+        ).select(*snapshot.columns, _label(_within_reach(horizon)))
     )
 
 
+def label_churn_colocated(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> DataFrame:
+    """The same labels for tables stored in equal buckets of ``user_id``: nothing is shuffled.
+
+    Each user's reach is one map by block, at most two entries for each week of the calendar.
+    """
+    settled = safe_zone(snapshot, history, horizon).dropDuplicates()
+    placed = settled.withColumn("_block", _block(F.col("event_date"), horizon))
+    reach = _activity_reach(history, horizon)
+    found = colocated_lookup(placed, reach, ["_last_here", "_first_next"], "user_id", per="_block")
+    return found.select(*snapshot.columns, _label(_within_reach(horizon)))
+
+
 def label_churn_window(snapshot: DataFrame, history: DataFrame, horizon: int = 7) -> DataFrame:
     """The same labels from a range frame over each user's days.
 
@@ -96,6 +105,12 @@ def _activity_reach(history: DataFrame, horizon: int) -> DataFrame:
     )
 
 
+def _within_reach(horizon: int) -> Column:
+    return (F.col("_last_here") > F.col("event_date")) | (
+        F.col("_first_next") <= F.date_add("event_date", horizon)
+    )
+
+
 def _block(day: Column, horizon: int) -> Column:
     return F.floor(F.unix_date(day) / horizon)
 

@@ -3,9 +3,9 @@ from datetime import date, timedelta
 
 import pytest
 
-from holdfast.operators.labels import label_churn, label_churn_window, safe_zone
+from holdfast.operators.labels import label_churn, label_churn_colocated, label_churn_window, safe_zone
 
-FORMS = [label_churn, label_churn_window]
+FORMS = [label_churn, label_churn_window, label_churn_colocated]
 SNAPSHOT = "user_id long, event_date date, note string"
 HISTORY = "user_id long, activity_date date"
 START = date(2024, 1, 1)

@@ -99,7 +99,9 @@ def _hash_words(data: np.ndarray, solid: np.ndarray, start: np.ndarray, stop: in
 def _multipliers(kind: int, count: int) -> np.ndarray:
     """Odd numbers without order. Powers of one base would be multiples of ever higher
     powers of two in sums of alternating signs, so that long words of a certain form collide."""
-    return mix((np.arange(count, dtype=_U64) * _U64(2) + _U64(kind)) * _U64(_BASE)) | _U64(1)
+    table = mix((np.arange(count, dtype=_U64) * _U64(2) + _U64(kind)) * _U64(_BASE)) | _U64(1)
+    table[0] = 1  # so a word's hash does not depend on whether longer ones are near
+    return table
 
 
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

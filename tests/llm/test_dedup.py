@@ -169,6 +169,15 @@ def test_words_of_alternating_form_do_not_collide():
     assert len(set(words(np.frombuffer(text, np.uint8), np.array([0, len(text)])).hashes.tolist())) == 2
 
 
+def test_a_word_hashes_alike_beside_a_long_one():
+    def hashes(text):
+        return words(np.frombuffer(text, np.uint8), np.array([0, len(text)])).hashes.tolist()
+
+    long = b"q" * 9_000
+    assert hashes(b"some words") == hashes(b"some words " + long)[:2] == hashes(b"some " + b" " * 9_000 + b"words")
+    assert hashes(long) == hashes(long + b" " + b"z" * 90_000)[:1]
+
+
 def test_long_words_and_windows_hash_by_content():
     text = ("q" * 10_000 + " " + "z " * 3 + "q" * 10_000).encode()
     found = words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +68,77 @@ def test_quality_cases(spark, docs):
     assert score_quality(docs(), model).count() == 0
 
 
+_ALL = (1 << 64) - 1
+
+
+def _mixed(h):
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & _ALL
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & _ALL
+    return h ^ (h >> 31)
+
+
+def _word_hash(word):
+    def factor(kind, k):
+        return (_mixed((2 * k + kind) * 0x9E3779B97F4A7C15 & _ALL) | 1) if k else 1
+
+    return _mixed(sum((b + 1) * factor(0, k % 4096) * factor(1, k // 4096) for k, b in enumerate(word)) & _ALL)
+
+
+def _plain_features(text):
+    """Buckets of words, pairs of words and runs of three characters, one by one."""
+    hashes = [_word_hash(w) for w in (text or "").encode().split()]
+    found = [h >> 48 for h in hashes]
+    found += [_mixed((b - a + 1) & _ALL) >> 48 for a, b in zip(hashes, hashes[1:])]
+    padded = f" {text or ''} "
+    for k in range(len(padded) - 2):
+        h = 3
+        for c in padded[k : k + 3]:
+            h = (h * 0x9E3779B1 & 0xFFFFFFFF) ^ ord(c)
+            h = h * 0x85EBCA6B & 0xFFFFFFFF
+            h ^= h >> 15
+        found.append(h >> 16)
+    return found
+
+
+def _plain_model(texts, label):
+    """The same steps of descent in doubles, bucket by bucket."""
+    r, d = np.random.default_rng(quality.SEED), quality.DIMENSIONS
+    vectors = r.uniform(-1 / d, 1 / d, (1 << 16, d))
+    output, bias, done = np.zeros(d), 0.0, 0
+    shares = []
+    for text in texts:
+        counts = Counter(_plain_features(text))
+        shares.append({b: n / sum(counts.values()) for b, n in counts.items()})
+    for _ in range(quality.EPOCHS):
+        for i in r.permutation(len(texts)):
+            step = quality.RATE * (1 - done / (quality.EPOCHS * len(texts)))
+            done += 1
+            mean = sum((s * vectors[b] for b, s in shares[i].items()), np.zeros(d))
+            step *= label[i] - 1 / (1 + np.exp(-(mean @ output + bias)))
+            for b, s in shares[i].items():
+                vectors[b] += step * np.sqrt(s) * output
+            output = output + step * mean
+            bias += 0.1 * step
+    return vectors @ output, bias
+
+
+def test_quality_equals_plain_descent_and_scores(spark, docs):
+    texts = ["good plain words hère", "bad### bad### bad###", "", "w" * 9_000 + " plain", "some more words\there", "bad### x"]
+    label = [1, 0, 1, 1, 1, 0]
+    labels = spark.createDataFrame([*enumerate(label)], "doc_id bigint, quality int")
+    model = fit_quality(docs(*texts), labels)
+    folded, bias = _plain_model(texts, label)
+    assert np.allclose(model.folded(), folded, atol=2e-3) and abs(model.bias - bias) < 2e-3
+    asked = [*texts, None, "bad### good", "ünknown plain bad### words", "x"]
+    for row in score_quality(docs(*asked), model).collect():
+        found = _plain_features(asked[row["doc_id"]])
+        odds = sum(folded[b] for b in found) / max(len(found), 1) + bias
+        assert row["score"] == pytest.approx(1 / (1 + np.exp(-odds)), abs=2e-3)
+        assert row["predicted"] == int(row["score"] >= 0.5)
+
+
 def test_quality_learns_one_row_of_each_id(spark, docs, monkeypatch):
     learned = []
     monkeypatch.setattr(quality, "train", lambda bucket, count, label: learned.extend(label.tolist()))

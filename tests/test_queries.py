@@ -43,3 +43,21 @@ def test_only_trained_models_lack_sql():
 
 def test_entry_gives_rows(spark):
     assert entry_points.entry(spark).count() == 2
+
+
+def test_audited_publish_of_users_idle_beyond_20_days(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute("""create table events as select u as event_id, timestamp '2024-01-01 08:00:00' + to_days(cast(u as int)) as ts,
+        u as user_id, 'view' as event_type, 5.0::double as value, '{"k": 1}' as props from range(30) t(u)""")
+    con.execute("create table customer as select u as c_custkey, 'BUILDING' as c_mktsegment from range(30) t(u)")
+    for name in ("events", "customer"):
+        con.execute(f"copy {name} to '{tmp_path}/{name}.parquet'")
+    for file in DATA.glob("*.parquet"):
+        if file.stem not in ("events", "customer"):
+            con.execute(f"create view {file.stem} as select * from '{file}'")
+    result = con.execute(oracle_queries()["audited_publish"])
+    columns = [column[0] for column in result.description]
+    expected = _rows(result.fetchall(), columns)
+    df = registered_queries()["audited_publish"](spark, str(tmp_path))
+    assert _rows(df.collect(), df.columns) == expected
+    assert len(expected) == 30 and df.agg({"churn_probability": "max"}).first()[0] == 1.27

@@ -2,12 +2,12 @@
 
 Features are cut into bins once and rows are stored as blocks of bin numbers. For each level
 of a tree one job adds up gradients and hessians per (node, feature, bin): tasks fill one
-histogram each, partial sums are combined on the executors, and the driver gets a histogram
+histogram each, partial sums of many tasks are combined on the executors, and the driver gets histograms
 of fixed size, picks the splits and sends them with the next job. Nothing that grows with the rows reaches the
 driver. Margins are carried along in the blocks and renewed every ``SYNC`` rounds.
 
 Gradients are added as integers of a fixed scale, so the model does not depend on
-how rows are dealt or on the order of sums. The number of tasks follows the rows.
+how rows are dealt or on the order of sums. The number of tasks follows the rows and the cores.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from holdfast.session import ensure_checkpoint_dir, materialise
 
 SYNC, RENEWALS = 10, 5  # rounds between renewals of the margins; renewals between checkpoints
 BLOCK = 1 << 16
+DIRECT = 16  # tasks, at most, whose histograms go to the driver one by one; those of more are added up before
 BIN_SAMPLE = 200_000  # rows, about, that decide where bins are cut; all rows are fitted
 _STEPS, _REACH = 1 << 10, 16  # margins are ranked in steps of 1/1024, from -16 to 16
 _LEAST_GAIN, _SAME_GAIN = 1e-6, 1e-9
@@ -117,9 +118,12 @@ def blocks(rows: DataFrame, inputs: Sequence[str], cuts: Sequence[np.ndarray], t
     return stored.rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def histogram(block: Block, recent: Forest, tree: Forest, level: int, live: np.ndarray, weight: float, scale: float, bins: int) -> np.ndarray:
-    """Sums of gradient and hessian per (node of the level in ``live``, feature, bin), as integers."""
-    chance = probabilities(block.margins(recent))
+def histogram(block: Block, tree: Forest, level: int, asked: np.ndarray, weight: float, scale: float, sizes: Sequence[int]) -> np.ndarray:
+    """Sums of gradient and hessian per (node of the level in ``asked``, bin of any feature), as integers.
+
+    ``sizes`` are the numbers of bins of the features, which lie one after the other.
+    """
+    chance = probabilities(block.margin)
     factor = np.where(block.label == 1, weight, 1.0) * scale
     sums = np.rint((chance - block.label) * factor), np.rint(chance * (1 - chance) * factor)
     place = np.zeros(len(chance), np.int64)
@@ -128,27 +132,38 @@ def histogram(block: Block, recent: Forest, tree: Forest, level: int, live: np.n
     for _ in range(level):
         of = tree.feature[0].take(place)
         right = flat.take(of * len(chance) + at) > tree.cut[0].take(place)
-        place = np.where(of >= 0, 2 * place + 1 + right, -1)
-        if (place < 0).any():  # rows in leaves are done
-            stays = np.flatnonzero(place >= 0)
-            place, at, sums = place[stays], at[stays], tuple(s[stays] for s in sums)
-    node = np.searchsorted(live, place) * bins
-    out = np.empty((2, len(live), len(block.bins), bins), np.int64)
-    for f, of_row in enumerate(block.bins):
+        place = np.where(of >= 0, 2 * place + 1 + right, place)  # rows in leaves stay
+    line = np.full(tree.feature.shape[1], -1)
+    line[asked] = np.arange(len(asked))
+    node = line.take(place)
+    at = np.flatnonzero(node >= 0)
+    width = sum(sizes)
+    node, sums = node[at] * width, tuple(s[at] for s in sums)
+    out = np.zeros((2, len(asked) * width), np.int64)
+    for of_row, start in zip(block.bins, np.cumsum([0, *sizes])):
         cell = node + of_row[at]
+        cell += start
         for k, s in enumerate(sums):  # exact: a block's sums stay below 2**53
-            out[k, :, f] = np.bincount(cell, s, len(live) * bins).reshape(len(live), bins)
-    return out
+            out[k] += np.bincount(cell, s, out.shape[1]).astype(np.int64)
+    return out.reshape(2, len(asked), width)
+
 
+def _tree(data: RDD, recent: Forest, weight: float, scale: float, sizes: Sequence[int], params: BoostParams) -> Forest:
+    """Grow one tree on bins: a job for each level.
 
-def _tree(data: RDD, recent: Forest, weight: float, scale: float, params: BoostParams) -> Forest:
-    """Grow one tree on bins: a job for each level."""
+    The margins of the recent trees are added once, with the first level. Of two children only the one with
+    fewer hessians is summed up; the other is the rest of their parent, exactly.
+    """
     size = (2 << params.max_depth) - 1
     feature, cut, value = np.full(size, -1), np.zeros(size), np.zeros(size)
-    live = np.zeros(1, np.int64)
+    used = (np.arange(params.bins) < np.array(sizes)[:, None]).reshape(-1)
+    live = asked = np.zeros(1, np.int64)
+    parents = None
+    current = data.map(lambda b: Block(b.bins, b.label, b.margins(recent))).persist(StorageLevel.MEMORY_AND_DISK)
+    depth = 1 if data.getNumPartitions() <= DIRECT else 2
     for level in range(params.max_depth):
         tree = Forest(recent.inputs, feature[None].copy(), cut[None].copy(), value[None].copy())
-        fixed = (recent, tree, level, live, weight, scale, params.bins)
+        fixed = (tree, level, asked, weight, scale, sizes)
 
         def sums(some: Iterator[Block], fixed=fixed) -> Iterator[np.ndarray]:
             total = None
@@ -158,7 +173,14 @@ def _tree(data: RDD, recent: Forest, weight: float, scale: float, params: BoostP
             if total is not None:
                 yield total
 
-        g, h = data.mapPartitions(sums).treeReduce(add) / scale
+        found = current.mapPartitions(sums).treeReduce(add, depth)
+        if parents is not None:
+            both, summed = np.repeat(parents, 2, axis=1), np.isin(live, asked)
+            both[:, summed], both[:, ~summed] = found, parents - found
+            found = both
+        whole = np.zeros((2, len(live), len(used)), np.int64)
+        whole[:, :, used] = found
+        g, h = whole.reshape(2, len(live), len(sizes), params.bins) / scale
         left_g, left_h = np.cumsum(g, axis=2), np.cumsum(h, axis=2)
         all_g, all_h = left_g[:, :, -1:], left_h[:, :, -1:]
         right_g, right_h = all_g - left_g, all_h - left_h
@@ -166,7 +188,7 @@ def _tree(data: RDD, recent: Forest, weight: float, scale: float, params: BoostP
         gain[(left_h < params.min_child_weight) | (right_h < params.min_child_weight)] = -np.inf
         flat = gain.reshape(len(live), -1)
         best = (flat >= flat.max(axis=1)[:, None] - _SAME_GAIN).argmax(axis=1)  # of equal gains the first feature and bin
-        children = []
+        children, fewer, split = [], [], []
         for i, place in enumerate(live.tolist()):
             f, b = divmod(int(best[i]), params.bins)
             value[place] = -params.step_size * all_g[i, 0, 0] / (all_h[i, 0, 0] + params.l2)
@@ -175,9 +197,12 @@ def _tree(data: RDD, recent: Forest, weight: float, scale: float, params: BoostP
                 for child, cg, ch in ((2 * place + 1, left_g, left_h), (2 * place + 2, right_g, right_h)):
                     value[child] = -params.step_size * cg[i, f, b] / (ch[i, f, b] + params.l2)
                     children.append(child)
-        live = np.array(children, np.int64)
+                fewer.append(2 * place + 1 + int(right_h[i, f, b] < left_h[i, f, b]))
+                split.append(i)
+        live, asked, parents = np.array(children, np.int64), np.array(fewer, np.int64), found[:, split]
         if not len(live):
             break
+    current.unpersist()
     return Forest(recent.inputs, feature[None], cut[None], value[None])
 
 
@@ -235,14 +260,15 @@ def fit(rows: DataFrame, late: DataFrame | None, inputs: Sequence[str], params:
     cuts = bin_cuts(rows, inputs, params.bins, count)
     # Below 2**53 within a block and 2**62 in all.
     scale = 2.0 ** min(36 - ceil(log2(max(weight, 1))), 62 - ceil(log2(max(count * max(weight, 1), 2))))
-    data = blocks(rows, inputs, cuts, max(1, -(-count // params.rows_per_task)))
-    tests = blocks(late, inputs, cuts, max(1, -(-late.count() // params.rows_per_task))) if late is not None else None
+    cores, sizes = rows.sparkSession.sparkContext.defaultParallelism, [len(c) + 1 for c in cuts]
+    data = blocks(rows, inputs, cuts, _tasks(count, params, cores))
+    tests = blocks(late, inputs, cuts, _tasks(late.count(), params, cores)) if late is not None else None
     done: list[Forest] = []
     recent: list[Forest] = []
     areas: list[float] = []
     best = 0
     while len(done) + len(recent) < params.rounds:
-        recent.append(_tree(data, _joined(recent, inputs, params.max_depth), weight, scale, params))
+        recent.append(_tree(data, _joined(recent, inputs, params.max_depth), weight, scale, sizes, params))
         if len(recent) < SYNC and len(done) + len(recent) < params.rounds:
             continue
         trees = _joined(recent, inputs, params.max_depth)
@@ -263,6 +289,11 @@ def fit(rows: DataFrame, late: DataFrame | None, inputs: Sequence[str], params:
     return _on_values(found, cuts), areas
 
 
+def _tasks(count: int, params: BoostParams, cores: int) -> int:
+    """One for ``rows_per_task`` rows, and as many as there are cores where each gets a whole block."""
+    return max(1, -(-count // params.rows_per_task), min(cores, count // BLOCK))
+
+
 def _best_round(areas: Sequence[float], patience: int) -> int:
     """The round of the largest area, up to the first ``patience`` rounds without a larger one."""
     best = 0

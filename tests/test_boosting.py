@@ -88,6 +88,26 @@ def test_layout_tasks_and_renewals_change_nothing(spark, monkeypatch):
     assert areas == again and all((getattr(first, c) == getattr(second, c)).all() for c in ("feature", "cut", "value"))
 
 
+def test_rows_of_few_tasks_use_all_cores_and_one_stage_a_level(spark, monkeypatch):
+    rows, _, _ = table(spark, 6, 400)
+    context, inner, seen = spark.sparkContext, boosting._tree, []
+
+    def counted(data, *rest):
+        seen.append(data.getNumPartitions())
+        context.setJobGroup(f"round-{len(seen)}", "a round")
+        tree = inner(data, *rest)
+        jobs = context.statusTracker().getJobIdsForGroup(f"round-{len(seen)}")
+        stages = [len(context.statusTracker().getJobInfo(j).stageIds) for j in jobs]
+        assert stages == [1] * len(jobs) and 1 <= len(jobs) <= PARAMS.max_depth
+        return tree
+
+    monkeypatch.setattr(boosting, "BLOCK", 50)
+    monkeypatch.setattr(boosting, "_tree", counted)
+    boosting.fit(rows, None, INPUTS, boosting.BoostParams(rounds=3, max_depth=3))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert seen == [min(8, context.defaultParallelism)] * 3
+
+
 def test_patience_counts_from_the_best_round():
     assert boosting._best_round([0.1, 0.3, 0.2, 0.2, 0.9], 2) == 2
     assert boosting._best_round([0.1, 0.3, 0.2, 0.4], 2) == 4

@@ -8,12 +8,13 @@ a feature of its own.
 
 Training runs on a bounded sample: the ``MAX_LABELLED`` labelled rows that come first by
 hash of their id. Their texts become sparse bucket counts on the executors, whole texts
-and all; only these counts reach the driver. For scoring, vectors and output layer are
+and all; only these counts, compressed, reach the driver. For scoring, vectors and output layer are
 folded into one number per bucket, so a text's score is one lookup and one average.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -66,7 +67,18 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         yield low, high, part, offsets[low : high + 1] - offsets[low], strings
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zlib.compress(values.tobytes(), 1)
+
+
+def _unpacked(buckets: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and counts of one text as :func:`_bucket_counts` packs them."""
+    gaps = np.frombuffer(zlib.decompress(buckets), np.uint16)
+    return np.cumsum(gaps, dtype=np.uint16), np.frombuffer(zlib.decompress(counts), np.int32).astype(np.float32)
+
+
 def _bucket_counts(texts: pa.Array) -> list[pa.Array]:
+    """Each text's buckets, as gaps between them in ascending order, and its counts of them; both compressed."""
     buckets, counts = [], []
     for low, high, *parts in _slices(texts):
         joined = list(_features(*parts))
@@ -74,11 +86,11 @@ def _bucket_counts(texts: pa.Array) -> list[pa.Array]:
         row = np.concatenate([r for _, r in joined])
         key, n = np.unique((row << BITS) + bucket, return_counts=True)
         ends = np.searchsorted(key, np.arange(1, high - low + 1) << BITS)
-        key = (key & ((1 << BITS) - 1)).astype(np.int32)
+        key = key & ((1 << BITS) - 1)
         for start, end in zip([0, *ends[:-1]], ends):
-            buckets.append(key[start:end])
-            counts.append(n[start:end].astype(np.int32))
-    return [pa.array(buckets, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))]
+            buckets.append(_packed(np.diff(key[start:end], prepend=0).astype(np.uint16)))
+            counts.append(_packed(n[start:end].astype(np.int32)))
+    return [pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())]
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> QualityModel:
@@ -98,12 +110,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Q
     rows = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     # One row of each id, so the bound holds for rows and a repeated id has one vote.
     texts = rows.groupBy("doc_id", "_label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    kinds = {"buckets": "array<int>", "counts": "array<int>"}
+    kinds = {"buckets": "binary", "counts": "binary"}
     rows = add_from_text(texts, kinds, _bucket_counts, keep=["doc_id", "_label"]).toArrow()
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
-    bucket = [np.asarray(rows["buckets"][int(i)].values) for i in order]
-    count = [np.asarray(rows["counts"][int(i)].values, dtype=np.float32) for i in order]
-    return train(bucket, count, rows["_label"].to_numpy()[order])
+    texts = [_unpacked(rows["buckets"][int(i)].as_py(), rows["counts"][int(i)].as_py()) for i in order]
+    return train([bucket for bucket, _ in texts], [count for _, count in texts], rows["_label"].to_numpy()[order])
 
 
 def train(bucket: list[np.ndarray], count: list[np.ndarray], label: np.ndarray) -> QualityModel:

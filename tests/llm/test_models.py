@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +146,15 @@ def test_quality_learns_one_row_of_each_id(spark, docs, monkeypatch):
     table = docs(*[f"copy {i}" for i in range(50)], "other", "third", ids=[0] * 50 + [1, 2])
     fit_quality(table, spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id bigint, quality int"))
     assert learned == [1, 0, 1]
+
+
+def test_counts_for_the_driver_are_small_and_come_back():
+    words = "".join(f"word{i % 700}x{i * i % 997} " for i in range(4_000))
+    packed = quality._bucket_counts(pa.array([words, None, "a a b"]))
+    buckets, counts = quality._unpacked(packed[0][0].as_py(), packed[1][0].as_py())
+    assert (np.diff(buckets.astype(int)) > 0).all() and counts.min() >= 1 and counts.dtype == np.float32
+    assert packed[0].nbytes + packed[1].nbytes < 4 * len(buckets)
+    assert [len(quality._unpacked(b.as_py(), c.as_py())[0]) for b, c in zip(*packed)][1] == 0
+    expected = np.concatenate([b for b, _ in quality._features(*quality.utf8(pa.array([words])), [words])])
+    found = np.repeat(buckets, counts.astype(int))
+    assert (np.sort(expected) == found).all()

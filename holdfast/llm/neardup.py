@@ -297,11 +297,34 @@ def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     links = _verified(forest, texts, percent)
     labels = components(links).select(F.col("node").alias("cid"), "label")
     known = stored(lookup(dealt, labels, ["cid"]).withColumn("label", F.coalesce("label", "cid")), "labelled")
-    several = known.groupBy("hub").agg((F.min("label") < F.max("label")).alias("open"))
-    rest = lookup(known, several.filter("open"), ["hub"]).filter("open")
-    # Every pair of blocks of a group, each member sent to the pairs that its block is in.
-    other = F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
-    paired = rest.withColumn("other", other).select(
+    paired = _paired(known)
+    block_pair = ["hub", "low", "high"]
+    open_ = paired.groupBy(*block_pair).applyInArrow(lambda t: _open_members(t, percent), paired.schema)
+    with_text = lookup(stored(open_, "open-members"), texts.withColumnRenamed("rid", "cid"), ["cid"])
+    across = with_text.groupBy(*block_pair).applyInArrow(lambda t: _across(t, percent), kinds)
+    return links.unionByName(stored(across, "links-across"))
+
+
+def _paired(known: DataFrame) -> DataFrame:
+    """Members of groups with several components, once for each pair of blocks that they are compared in.
+
+    A group's largest component has blocks of its own, and its members need no comparison
+    with each other; the rest is compared with all. So what is sent grows with the largest
+    component times the blocks of the rest, not with the square of the group.
+    """
+    by_label = known.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", F.col("label").alias("main"))).alias("largest")
+    hubs = by_label.groupBy("hub").agg(largest, F.sum("n").alias("members"))
+    hubs = hubs.filter(F.col("members") > F.col("largest.n"))
+    rest = lookup(known.select("hub", "cid", "n", "label", "sketch"), hubs, ["hub"]).filter("largest is not null")
+    is_main = F.col("label") == F.col("largest.main")
+    main_blocks = F.ceil(F.col("largest.n") / BLOCK).cast("int")
+    rest_blocks = F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int")
+    place = F.xxhash64("cid", "hub")
+    block = F.when(is_main, F.pmod(place, main_blocks)).otherwise(main_blocks + F.pmod(place, rest_blocks))
+    first = F.when(is_main, main_blocks).otherwise(F.lit(0))
+    others = F.explode(F.sequence(first, main_blocks + rest_blocks - 1))
+    return rest.withColumn("block", block.cast("int")).withColumn("other", others).select(
         "hub",
         "cid",
         "n",
@@ -311,11 +334,6 @@ def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         F.greatest("block", "other").alias("high"),
         (F.col("block") > F.col("other")).cast("int").alias("side"),
     )
-    block_pair = ["hub", "low", "high"]
-    open_ = paired.groupBy(*block_pair).applyInArrow(lambda t: _open_members(t, percent), paired.schema)
-    with_text = lookup(stored(open_, "open-members"), texts.withColumnRenamed("rid", "cid"), ["cid"])
-    across = with_text.groupBy(*block_pair).applyInArrow(lambda t: _across(t, percent), kinds)
-    return links.unionByName(stored(across, "links-across"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:

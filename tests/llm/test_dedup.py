@@ -79,6 +79,23 @@ def test_rows_keep_their_numbers_when_scans_are_split_anew(stored_docs, conf, mo
         assert sorted((x["doc_id"], x["text"]) for x in kept.select("*").collect()) == list(enumerate(texts[:60]))
 
 
+def test_a_large_component_is_sent_only_to_the_rest_of_its_group(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    label = {cid: 1 if cid <= 400 else cid // 2 for cid in range(1, 411)}
+    rows = [(hub, cid, 9, label[cid], b"") for hub in (1, 2) for cid in label] + [(3, 1, 9, 1, b""), (3, 2, 9, 1, b"")]
+    known = spark.createDataFrame(rows, "hub bigint, cid bigint, n bigint, label bigint, sketch binary")
+    met = Counter()
+    sent = neardup._paired(known).collect()
+    for hub, low, high in {(r["hub"], r["low"], r["high"]) for r in sent}:
+        here = [r for r in sent if (r["hub"], r["low"], r["high"]) == (hub, low, high)]
+        left = [r["cid"] for r in here if r["side"] == 0]
+        right = left if low == high else [r["cid"] for r in here if r["side"] == 1]
+        met.update({(hub, *sorted((a, b))) for a in left for b in right if label[a] != label[b]})
+    wanted = {(hub, a, b) for hub in (1, 2) for a in label for b in label if a < b and label[a] != label[b]}
+    assert set(met) == wanted and max(met.values()) == 1
+    assert len(sent) == 2 * (400 * 2 + 10 * (50 + 2))  # every member to every block: 42,640
+
+
 def test_estimates_are_close():
     r = np.random.default_rng(1)
     both = np.unique(r.integers(0, 1 << 63, 3_000).astype(np.uint64) * np.uint64(2))

@@ -156,9 +156,9 @@ def _open_members(groups: pa.Table, percent: int) -> pa.Table:
 
 
 def _across(groups: pa.Table, percent: int) -> pa.Table:
-    """Links between different components in two blocks: a forest of them, on full sets."""
+    """Links between different components in two blocks: a forest of them, on full sets, as pairs of labels."""
     left, right, wanted = _wanted(groups, percent)
-    ids, n, label = (groups[c].to_numpy() for c in ("cid", "n", "label"))
+    n, label = (groups[c].to_numpy() for c in ("n", "label"))
     sets = list(shingle_sets(*utf8(groups["text"].combine_chunks())))
     shared = _shared(sets, left, right)
     wanted &= 100 * shared >= percent * (n[left][:, None] + n[right] - shared)
@@ -175,7 +175,7 @@ def _across(groups: pa.Table, percent: int) -> pa.Table:
         one, other = head(int(label[i])), head(int(label[j]))
         if one != other:
             joined[max(one, other)] = min(one, other)
-            pairs.append((int(ids[i]), int(ids[j])))
+            pairs.append((int(label[i]), int(label[j])))
     return _pairs(pairs)
 
 
@@ -245,9 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keep: Sequence[str] = ()
     by_set = sketches.filter("n > 0").groupBy(*same_set)
     classes = stored(by_set.agg(F.min("rid").alias("cid"), F.count(F.lit(1)).alias("copies")), "classes")
     members = _groups(sketches, classes)
-    links = _links(numbered, members, percent)
-    labels = components(links)
-    class_label = lookup(classes, labels.select(F.col("node").alias("cid"), "label"), ["cid"])
+    class_label = lookup(classes, _labels(numbered, members, percent), ["cid"])
     class_label = class_label.select(*same_set, F.coalesce("label", "cid").alias("label"))
     placed = lookup(sketches.drop("sketch"), class_label, same_set)
     placed = placed.withColumn("label", F.coalesce("label", F.col("rid")))
@@ -283,7 +281,8 @@ def _groups(sketches: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(lookup(met.select("hub", "cid").distinct(), only, ["cid"]), "groups")
 
 
-def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _labels(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``cid`` and ``label``, the smallest class of its component, of the classes in groups of several."""
     involved = members.select(F.col("cid").alias("rid")).distinct()
     # By sorting at every size: whether the ids fit a broadcast should not change the plan.
     texts = stored(numbered.select("rid", "text").join(involved.hint("merge"), "rid"), "group-texts")
@@ -302,7 +301,10 @@ def _links(numbered: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     open_ = paired.groupBy(*block_pair).applyInArrow(lambda t: _open_members(t, percent), paired.schema)
     with_text = lookup(stored(open_, "open-members"), texts.withColumnRenamed("rid", "cid"), ["cid"])
     across = with_text.groupBy(*block_pair).applyInArrow(lambda t: _across(t, percent), kinds)
-    return links.unionByName(stored(across, "links-across"))
+    # These links join whole components, so only their labels are put together once more.
+    merged = components(stored(across, "links-across")).select(F.col("node").alias("label"), F.col("label").alias("merged"))
+    placed = lookup(known.select("cid", "label").distinct(), merged, ["label"])
+    return placed.select("cid", F.coalesce("merged", "label").alias("label"))
 
 
 def _paired(known: DataFrame) -> DataFrame:

@@ -96,6 +96,21 @@ def test_a_large_component_is_sent_only_to_the_rest_of_its_group(spark, monkeypa
     assert len(sent) == 2 * (400 * 2 + 10 * (50 + 2))  # every member to every block: 42,640
 
 
+def test_only_links_across_components_are_put_together_again(stored_docs, monkeypatch):
+    seen = []
+
+    def counted(links):
+        seen.append(links.count())
+        return components(links)
+
+    monkeypatch.setattr(neardup, "components", counted)
+    r = random.Random(5)
+    texts = _family(r, " ".join(f"w{r.randrange(10_000)}" for _ in range(400)), 12, 1)
+    got = neardup.near_duplicates(stored_docs(*texts), 80).collect()
+    assert {g["component_id"] for g in got} == {0}
+    assert len(seen) == 2 and seen[0] > 0 and seen[1] == 0
+
+
 def test_estimates_are_close():
     r = np.random.default_rng(1)
     both = np.unique(r.integers(0, 1 << 63, 3_000).astype(np.uint64) * np.uint64(2))
